@@ -14,8 +14,12 @@ from finfacts.plans import catalog as N, filings as P, statements as S
 from finfacts.schema import (
     DOC_HEADER, DOC_SCHEMA, DOCUMENT_PARTS, FISCAL_PERIODS, RATIO_COLUMNS, RAW_COLUMNS,
 )
-from finfacts.sources.manifest import missing_periods
-from finfacts.sources.raw import typed
+from finfacts.plans.forms import load_form
+from finfacts.sources.documents import read_documents, write_documents
+from finfacts.sources.manifest import missing_periods, staged_manifest
+from finfacts.sources.raw import read_raw, typed
+from finfacts.sources.sinks import save_model, scratch_folder
+from finfacts.streaming.landing import ingest_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +88,73 @@ add_direct("a11_extract_links",
      unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 2)) link_text
     FROM pages) WHERE link_text LIKE '%e%'""")
 
+
+
+def _write_raw(spark: SparkSession, sf_dir: str, names=("sub", "num", "tag", "pre")) -> str:
+    """The raw tables as tab-separated files in the shared folder, as one quarter."""
+    root = scratch_folder(spark)
+    tables = filing_tables(spark, sf_dir)
+    for name in names:
+        (
+            tables[name].write.option("sep", "\t").option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{root}/2022q4/{name}.txt")
+        )
+    return root
+
+
+def _write_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The filing documents as JSON lines in the shared folder, by quarter of their start."""
+    root = scratch_folder(spark)
+    quarter = F.concat(F.lit("Q"), F.quarter("startDate").cast("string"))
+    docs = P.filing_documents(filing_tables(spark, sf_dir)).withColumn(
+        "period_folder", B.period_key(F.year("startDate"), quarter, first_year=1990))
+    write_documents(docs, root)
+    return root
+
+
+def _saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_folder(spark)
+    save_model(S.fct_financial_statements(filing_tables(spark, sf_dir)), root,
+               partition_by=["fiscal_period"])
+    return spark.read.parquet(root)
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = scratch_folder(spark)
+    ingest_documents(spark, _write_documents(spark, sf_dir), landed, f"{landed}/checkpoint")
+    return spark.read.parquet(f"{landed}/financial_data").drop("ingest_batch")
+
+
+add_direct("a1_read_raw",
+    lambda spark, d: read_raw(spark, _write_raw(spark, d, ["num"]), "num", ["2022q4"]).select(
+        "adsh", "tag", "version", "ddate", "qtrs", "uom", "value", "period_folder"),
+    """SELECT adsh, tag, version, ddate, qtrs, trim(uom) uom, value, '2022q4' period_folder FROM num""")
+add_direct("a2_skip_invalid_rows",
+    lambda spark, d: typed(read_raw(spark, _write_raw(spark, d, ["num"]), "num", on_error="skip"),
+                           "num", on_error="skip").select("adsh", "tag", "value"),
+    """SELECT adsh, tag, TRY_CAST(value AS decimal(28,4)) AS value FROM num
+    WHERE value IS NULL OR TRY_CAST(value AS decimal(28,4)) IS NOT NULL""")
+add_direct("a5_staged_manifest",
+    lambda spark, d: staged_manifest(spark, _write_raw(spark, d)).select(
+        "period_folder", (F.col("bytes") > 0).alias("filled"), F.col("archive").isNull().alias("no_archive")),
+    "SELECT '2022q4' period_folder, true filled, true no_archive")
+add_direct("a7_read_documents",
+    lambda spark, d: P.document_tables(read_documents(spark, _write_documents(spark, d)))[1],
+    "SELECT * FROM fdata")
+add_direct("a8_write_documents",
+    lambda spark, d: nested.document_metadata(read_documents(spark, _write_documents(spark, d))),
+    """SELECT year(startDate) || 'q' || quarter(startDate) period_folder, * FROM meta""")
+add_direct("a10_save_model", _saved_facts, "SELECT * FROM fct")
+add_direct("i1_ingest_documents", _ingested,
+    """SELECT year(h.startDate) || 'q' || quarter(h.startDate) period_folder, d.symbol, data_type, concept,
+    info, unit, CAST(value AS double) AS value FROM doc_fact d JOIN status h ON h.adsh = d.adsh
+    WHERE data_type IN ('bs', 'cf')""")
+add_direct("m11_storage_forms",
+    lambda spark, d: rounded(
+        load_form(spark, "NORMALIZED", _write_raw(spark, d))["company_metrics"], RATIO_COLUMNS),
+    "SELECT * REPLACE (" + ", ".join(f"round({r}, 6) AS {r}" for r in RATIO_COLUMNS) + ") FROM metrics")
+
 # ---- B: scalars and predicates ----------------------------------------------
 
 add("b1_fiscal_period",

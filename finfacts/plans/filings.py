@@ -119,9 +119,11 @@ def filing_documents(
     return assemble_documents(headers, document_facts(tables, headers, parts, exact), limit)
 
 
-def metadata_table(headers: DataFrame, ids: bool = False) -> DataFrame:
+def metadata_table(
+    headers: DataFrame, ids: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Metadata columns of documents or headers; ``ids`` adds a key of the natural columns."""
-    table = headers.select(*DOC_HEADER)
+    table = headers.select(*keep, *DOC_HEADER)
     return table.withColumn("id", F.xxhash64(*DOC_HEADER)) if ids else table
 
 
@@ -130,10 +132,12 @@ def financial_metadata(tables: Tables, ids: bool = False) -> DataFrame:
     return metadata_table(filing_headers(tables["sub"], tables["sym"]), ids)
 
 
-def data_table(facts: DataFrame, ids: bool = False) -> DataFrame:
+def data_table(
+    facts: DataFrame, ids: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Data columns of flattened facts; ``ids`` adds a key of the natural columns."""
     table = facts.select(
-        "symbol", "data_type", "concept", "info", "unit",
+        *keep, "symbol", "data_type", "concept", "info", "unit",
         F.col("value").cast("double").alias("value"),
     )
     return table.withColumn("id", F.xxhash64(*table.columns)) if ids else table
