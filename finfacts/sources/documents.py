@@ -44,8 +44,7 @@ def read_documents(
 ) -> DataFrame:
     """Documents under ``root``; only the wanted period folders are listed."""
     texts = (
-        spark.read.option("wholetext", form == "files")
-        .text(document_paths(root, periods, form))
+        spark.read.text(document_paths(root, periods, form), wholetext=form == "files")
         .select("value", period_of(F.col("_metadata.file_path")).alias("period_folder"))
     )
     return parse_documents(texts, on_error, exact)

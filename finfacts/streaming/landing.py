@@ -17,10 +17,11 @@ def document_stream(
     spark: SparkSession, src: str, form: str = "lines", files_per_batch: int | None = None
 ) -> DataFrame:
     """Streaming documents of all period folders under ``src``."""
-    reader = spark.readStream.option("wholetext", form == "files")
+    reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    texts = reader.text(document_paths(src, None, form)[0]).select(
+    path = document_paths(src, None, form)[0]
+    texts = reader.text(path, wholetext=form == "files").select(
         "value", period_of(F.col("_metadata.file_path")).alias("period_folder")
     )
     return parse_documents(texts)

@@ -1,0 +1,99 @@
+from datetime import date
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from conftest import frame, rows
+from finfacts.operators import quality as Q
+from finfacts.plans import statements as S
+from finfacts.schema import FISCAL_PERIODS, RATIO_COLUMNS
+
+
+def test_staging_collapses_equal_labels_and_keeps_different_ones(tiny):
+    got = S.stg_balance_sheet(tiny).filter("metric_code = 'Assets' AND fiscal_period = 'FY'")
+    assert rows(got.select("metric_name", "metric_value", "measurement_unit")) == [
+        ("All assets", Decimal("100.5000"), "USD"), ("All assets", Decimal("80.0000"), "USD"),
+        ("Total assets", Decimal("100.5000"), "USD"), ("Total assets", Decimal("80.0000"), "USD"),
+    ]
+
+
+def test_staging_keeps_incomplete_filings_and_drops_missing_companies(tiny):
+    staged = S.staging(tiny)
+    assert rows(staged.filter("filing_date = 'bad'").select("company_symbol").distinct()) == [("c3",)]
+    assert staged.filter("company_symbol IS NULL OR metric_value IS NULL").isEmpty()
+    assert rows(staged.select("source_file").distinct()) == [
+        ("SEC_BALANCE_SHEET",), ("SEC_CASH_FLOW",), ("SEC_INCOME_STATEMENT",)]
+
+
+def test_single_pass_equals_three_statements(tiny):
+    parts = S.stg_balance_sheet(tiny).unionByName(S.stg_income_statement(tiny)).unionByName(
+        S.stg_cash_flow(tiny))
+    assert rows(S.staging(tiny)) == rows(parts)
+
+
+def test_fact_table_guards(tiny):
+    facts = S.fct_financial_statements(tiny)
+    assert rows(facts.select("company_symbol").distinct()) == [("c1",)]
+    assert rows(facts.filter("metric_code = 'Inventory'").select(
+        "fiscal_period", "filing_date", "measurement_unit")) == [("Q2", date(2020, 4, 1), "percent")]
+    assert "dbt_loaded_at" in S.fct_financial_statements(tiny, load_time=True).columns
+    assert rows(S.facts_from_staging(S.staging(tiny))) == rows(facts)
+
+
+def test_fact_rows_pass_the_mart_checks(tiny):
+    facts = S.fct_financial_statements(tiny)
+    checks = [
+        *[Q.not_null(c) for c in
+          ("company_symbol", "fiscal_year", "fiscal_period", "filing_date", "metric_value")],
+        Q.accepted_values("fiscal_period", FISCAL_PERIODS),
+        Q.expression_is_true("filing_date", F.col("filing_date").between("1900-01-01", "2100-01-01")),
+    ]
+    assert Q.check_table(facts, "fct", checks).filter("failures > 0").isEmpty()
+    assert Q.relationship(facts, "company_symbol", tiny["sub"], "cik", "fct").first()["failures"] == 0
+
+
+def test_metrics_and_ratios(tiny):
+    row = S.company_metrics(tiny).filter("fiscal_period = 'FY'").first()
+    assert (row["total_assets"], row["total_liabilities"], row["net_income"]) == (
+        Decimal("100.5000"), Decimal("-3.9000"), None)
+    assert row["gross_margin"] == 0.25
+    assert abs(row["debt_ratio"] + 3.9 / 100.5) < 1e-12
+    assert row["operating_cash_flow_ratio"] is None
+
+
+def test_metrics_keep_periods_without_pivoted_metrics(tiny):
+    row = S.company_metrics(tiny).filter("fiscal_period = 'Q2'").first()
+    assert row is not None and all(row[r] is None for r in RATIO_COLUMNS)
+
+
+def test_metrics_from_raw_equal_metrics_from_facts(tiny):
+    assert rows(S.company_metrics(tiny)) == rows(
+        S.company_metrics_from_facts(S.fct_financial_statements(tiny)))
+
+
+def test_fact_financials(tiny):
+    table = S.fact_financials(tiny)
+    assert rows(table.select("balance_metric", "income_metric", "cash_flow_metric", "balance_value")) == [
+        (b, i, "NetCashProvidedByUsedInOperatingActivities", v)
+        for b, v in (("Assets", 100.5), ("Liabilities", -3.9), ("StockholdersEquity", 40.0))
+        for i in ("CostOfRevenue", "Revenues")
+    ]
+
+
+def test_statement_table_ids(tiny):
+    table = S.balance_sheet(tiny, loaded=True)
+    assert {"id", "loaded_at"} <= set(table.columns)
+    assert table.select("id").distinct().count() == table.count()
+
+
+def test_metrics_scan_the_values_once_and_push_the_filters(spark, tiny, tmp_path):
+    stored = {}
+    for name in ("sub", "num", "tag"):
+        tiny[name].write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    plan = S.company_metrics(stored)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3
+    num = next(line for line in scans if "/num" in line)
+    assert "In(tag" in num and "IsNotNull(value)" in num
+    assert "ReadSchema: struct<adsh:string,tag:string,value:string>" in num
