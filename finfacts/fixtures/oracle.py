@@ -7,6 +7,8 @@ and not the plans of the library.
 
 from __future__ import annotations
 
+import re
+
 from finfacts.fixtures.tables import TAG_DIMENSION
 from finfacts.schema import (
     FISCAL_PERIOD_SPELLINGS, METRIC_COLUMNS, PERIOD_MONTHS, RATIO_COLUMNS,
@@ -208,8 +210,6 @@ TABLES = {**_TABLES, **_MODELS}
 
 def with_tables(body: str) -> str:
     """Prefix a query with the tables and models it names, directly or through others."""
-    import re
-
     needed: set[str] = set()
     texts = [body]
     while texts:

@@ -8,27 +8,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finfacts import functions as B
 from finfacts.fixtures import oracle as O
-from finfacts.fixtures.tables import filing_tables, test_table
+from finfacts.fixtures.tables import filing_tables, given_table
 from finfacts.operators import aggregates as D, joins as C, links, nested, quality as Q
-from finfacts.plans import catalog as N, filings as P, statements as S
+from finfacts.plans import catalog as N, checks as K, filings as P, statements as S
 from finfacts.schema import (
     DOC_HEADER, DOC_SCHEMA, DOCUMENT_PARTS, FISCAL_PERIODS, RATIO_COLUMNS, RAW_COLUMNS,
 )
 from finfacts.plans.forms import load_form
 from finfacts.sources.documents import read_documents, write_documents
 from finfacts.sources.manifest import missing_periods, staged_manifest
-from finfacts.sources.raw import read_raw, typed
+from finfacts.sources.raw import read_raw, read_tickers, typed
 from finfacts.sources.sinks import save_model, scratch_folder
 from finfacts.streaming.landing import ingest_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
+BUILDS: dict[str, Callable[..., DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def add(name: str, build: Callable[..., DataFrame], sql: str | None = None) -> None:
     """Register ``build(tables)`` over the filing tables of a data directory."""
+    BUILDS[name] = build
     QUERIES[name] = lambda spark, sf_dir: build(filing_tables(spark, sf_dir))
     if sql is not None:
         ORACLES[name] = O.with_tables(sql)
@@ -82,7 +84,7 @@ FROM range(1993, 2006) a(y), range(1, 5) b(q)
 WHERE y || 'q' || q NOT IN (SELECT DISTINCT year(d) || 'q' || quarter(d)
   FROM (SELECT {O.parse('period')} d FROM sub) WHERE d IS NOT NULL)""")
 add_direct("a11_extract_links",
-    lambda spark, d: links.extract_links(test_table(spark, d, "pages"), "e", inside_table=False),
+    lambda spark, d: links.extract_links(given_table(spark, d, "pages"), "e", inside_table=False),
     r"""SELECT page_id, href, link_text, string_split(href, '/')[-1] file_name FROM (
     SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 1)) href,
      unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 2)) link_text
@@ -145,6 +147,17 @@ add_direct("a7_read_documents",
 add_direct("a8_write_documents",
     lambda spark, d: nested.document_metadata(read_documents(spark, _write_documents(spark, d))),
     """SELECT year(startDate) || 'q' || quarter(startDate) period_folder, * FROM meta""")
+def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark)
+    symbols = filing_tables(spark, sf_dir)["sym"].select("symbol", "cik")
+    (
+        symbols.write.option("sep", "\t").option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
+    return C.lookup_symbol(read_tickers(spark, path))
+
+
+add_direct("a9_read_tickers", _tickers, "SELECT cik, symbol FROM first_symbol")
 add_direct("a10_save_model", _saved_facts, "SELECT * FROM fct")
 add_direct("i1_ingest_documents", _ingested,
     """SELECT year(h.startDate) || 'q' || quarter(h.startDate) period_folder, d.symbol, data_type, concept,
@@ -211,7 +224,7 @@ add("b13_clean_label",
     lambda t: t["pre"].select("adsh", "tag", "line", B.clean_text(F.col("plabel"), label=True).alias("info")),
     "SELECT adsh, tag, line, replace(plabel, '\"', '''') info FROM pre")
 add_direct("b13_clean_text",
-    lambda spark, d: test_table(spark, d, "documents").select(
+    lambda spark, d: given_table(spark, d, "documents").select(
         "doc_id", B.clean_text(F.col("text")).alias("cleaned")),
     "SELECT doc_id, replace(replace(text, chr(13), ''), chr(10), ' ') cleaned FROM documents")
 add("b14_route_stmt",
@@ -251,6 +264,10 @@ def _period_keys(t) -> DataFrame:
     return t["sub"].select("adsh", B.period_key(F.year(day), quarter).alias("period_folder"))
 
 
+add("b17_load_time",
+    lambda t: S.fct_financial_statements(t, load_time=True).groupBy("source_file").agg(
+        F.count("dbt_loaded_at").alias("loaded_rows")),
+    "SELECT source_file, count(*) loaded_rows FROM fct GROUP BY ALL")
 add("b18_period_key", _period_keys, f"""
 SELECT adsh, CASE WHEN year(d) BETWEEN 2000 AND 2100 THEN year(d) || 'q' || quarter(d) END period_folder
 FROM (SELECT adsh, {O.parse('period')} d FROM sub)""")
@@ -475,6 +492,30 @@ add("q12_unique",
     FROM (SELECT symbol FROM meta GROUP BY symbol HAVING count(*) > 1)
     UNION ALL SELECT 'unique', 'sub', 'adsh', count(*) FROM (SELECT adsh FROM sub GROUP BY adsh HAVING count(*) > 1)""")
 
+
+def _declared() -> str:
+    parts = []
+    for table, columns in K.SOURCE_NOT_NULL.items():
+        parts += [_failures("not_null", table, c, f"{c} IS NULL") for c in columns]
+    parts.append(_failures("not_null", "num", "value",
+                           "tag NOT IN ('text_only_tags') AND value IS NOT NULL AND value IS NULL"))
+    outside = f"fiscal_period NOT IN {O.text_list(FISCAL_PERIODS)}"
+    for name in ("stg_balance_sheet", "stg_income_statement", "stg_cash_flow"):
+        parts.append(_failures("not_null", name, "company_symbol", "company_symbol IS NULL"))
+        parts.append(_failures("accepted_values", name, "fiscal_period", outside))
+    for name, source, columns in (("fct_financial_statements", "fct", K.FACT_NOT_NULL),
+                                  ("company_metrics", "metrics", K.METRICS_NOT_NULL)):
+        parts += [_failures("not_null", name, c, f"{c} IS NULL", source) for c in columns]
+        parts.append(_failures("accepted_values", name, "fiscal_period", outside, source))
+    parts.append(_failures("expression_is_true", "fct_financial_statements", "filing_date",
+                           "NOT (filing_date BETWEEN DATE '1900-01-01' AND DATE '2100-01-01')", "fct"))
+    parts.append(_failures("relationship", "fct_financial_statements", "company_symbol",
+                           "company_symbol NOT IN (SELECT cik FROM sub WHERE cik IS NOT NULL)", "fct"))
+    return " UNION ALL ".join(parts)
+
+
+add("q13_all_checks", K.all_checks, _declared())
+
 # ---- M: models -----------------------------------------------------------------------
 
 add("m1_stg_balance_sheet", S.stg_balance_sheet, "SELECT * FROM stg_balance_sheet")

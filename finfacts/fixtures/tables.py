@@ -93,7 +93,7 @@ FROM {customer} WHERE c_custkey % 15 = 0
 """
 
 
-def test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -110,7 +110,7 @@ def _complete(df: DataFrame, table: str) -> DataFrame:
 
 def filing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lazy ``sub, num, tag, pre, sym`` over the test tables in ``sf_dir``."""
-    source = {n: test_table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "lineitem")}
+    source = {n: given_table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "lineitem")}
     entries = ", ".join(
         f"({i}, '{tag}', '{stmt}')" for i, (tag, stmt) in enumerate(TAG_DIMENSION)
     )

@@ -22,15 +22,39 @@ def norm_fiscal_period(code: Column, keep_unknown: bool = False) -> Column:
     return out.otherwise(code) if keep_unknown else out
 
 
+def is_fiscal_period(code: Column) -> Column:
+    """True if the code is a known spelling; the test evaluates the code once."""
+    known = [s for spellings in FISCAL_PERIOD_SPELLINGS.values() for s in spellings]
+    return F.upper(F.trim(code)).isin(*known)
+
+
+def _is_digits8(text: Column) -> Column:
+    return text.rlike("^[0-9]{8}$")
+
+
+def _digits_date(text: Column) -> Column:
+    """Date of eight digits through the plain date cast, which needs no formatter object."""
+    return F.concat_ws(
+        "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+    ).try_cast("date")
+
+
 def parse_period(code: Column) -> Column:
     """Date of an 8-digit ``yyyyMMdd`` code; NULL for any other text."""
-    return F.when(code.rlike("^[0-9]{8}$"), F.try_to_date(code, "yyyyMMdd"))
+    return F.when(_is_digits8(code), _digits_date(code))
 
 
 def safe_date(text: Column) -> Column:
-    """Parsed date between the guard dates; NULL otherwise."""
-    day = F.coalesce(parse_period(text), text.try_cast("date"))
-    return F.when(day.between(F.to_date(F.lit(MIN_DATE)), F.to_date(F.lit(MAX_DATE))), day)
+    """Parsed date between the guard dates; NULL otherwise.
+
+    Eight digits are compared with the bounds as text, so they are parsed once.
+    """
+    low, high = MIN_DATE.replace("-", ""), MAX_DATE.replace("-", "")
+    day = text.try_cast("date")
+    bounds = F.to_date(F.lit(MIN_DATE)), F.to_date(F.lit(MAX_DATE))
+    return F.when(
+        _is_digits8(text), F.when(text.between(low, high), _digits_date(text))
+    ).when(day.between(*bounds), day)
 
 
 def safe_year(text: Column) -> Column:

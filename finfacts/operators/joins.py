@@ -39,10 +39,11 @@ def salted_join(
 ) -> DataFrame:
     """Inner join that spreads every key of ``left`` over ``salts`` partitions.
 
-    The salt hashes the whole left row, so it is the same when a task is run
-    again; each right row is repeated once per salt.
+    The salt depends on the row and on its input partition: different rows of a
+    key and copies of a row both spread, and a task run again salts alike. Each
+    right row is repeated once per salt.
     """
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.withColumn("_salt", salt).join(spread, [key, "_salt"]).drop("_salt")
 
@@ -70,7 +71,7 @@ def join_tag(num: DataFrame, tag: DataFrame) -> DataFrame:
 
 def valid_companies(facts: DataFrame, sub: DataFrame) -> DataFrame:
     """Facts whose company occurs among the filings."""
-    companies = sub.select(F.col("cik").alias("company_symbol"))
+    companies = sub.select(F.col("cik").alias("company_symbol")).distinct()
     return facts.join(companies, "company_symbol", "left_semi")
 
 
@@ -154,4 +155,4 @@ def join_doc_tables(
 
 def orphans(data: DataFrame, meta: DataFrame) -> DataFrame:
     """Data rows whose symbol has no metadata row; a NULL symbol is an orphan."""
-    return data.join(meta.select("symbol"), "symbol", "left_anti")
+    return data.join(meta.select("symbol").distinct(), "symbol", "left_anti")

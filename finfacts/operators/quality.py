@@ -89,7 +89,8 @@ def relationship(
     keys = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(
         F.count("*").alias("_rows")
     )
-    missing = keys.join(parent.select(F.col(key).alias("_key")), "_key", "left_anti")
+    known = parent.select(F.col(key).alias("_key")).distinct()
+    missing = keys.join(known, "_key", "left_anti")
     failures = missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
     return _report(failures, "relationship", table, column)
 

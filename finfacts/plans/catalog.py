@@ -1,7 +1,8 @@
 """Analyst queries by name, over the raw, document and statement tables.
 
 Queries that multiply the filings and the facts of a company are computed from
-counts per distinct row (see ``counted_join``), never from the pairs.
+counts per distinct row (see ``counted_join``), never from the pairs. A full
+order ends in enough columns to split rows that agree in the leading ones.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finfacts.operators.aggregates import max_where, metric_stats, sum_where, top_k
+from finfacts.operators.aggregates import EXACT, max_where, metric_stats, sum_where, top_k
 from finfacts.operators.joins import (
     counted, counted_join, expand_counted, join_doc_tables, join_filing,
 )
@@ -71,9 +72,10 @@ def tag_usage(tables: Tables, k: int = 10) -> DataFrame:
 
 def data_points(tables: Tables, k: int = 10) -> DataFrame:
     """Companies and countries by number of facts."""
+    facts = filings.fact_groups(tables, [F.count("*").alias("_facts")])
     pairs = counted_join(
         counted(filings.financial_metadata(tables), ["symbol", "name", "country"]),
-        counted(_data(tables), ["symbol"]), "symbol",
+        facts.groupBy("symbol").agg(F.sum("_facts").alias("row_count")), "symbol",
     )
     points = pairs.groupBy("name", "country").agg(F.sum("row_count").alias("data_points"))
     return top_k(points, [_desc("data_points"), F.col("name"), F.col("country")], k)
@@ -86,7 +88,9 @@ def balance_sheet_analysis(
     rows = join_doc_tables(
         filings.financial_metadata(tables), _data(tables, concepts, parts=("bs",)),
         ["name"], ["concept", "value"],
-    ).select("symbol", "name", "concept", "value", "row_count").orderBy("symbol", "concept")
+    ).select("symbol", "name", "concept", "value", "row_count").orderBy(
+        "symbol", "concept", "name", "value"
+    )
     return expand_counted(rows) if expand else rows
 
 
@@ -99,7 +103,7 @@ def cash_flow_metrics(
         ["name", "year", "quarter"], ["concept", "value"],
     ).select(
         "symbol", "name", "concept", "value", "year", "quarter", "row_count"
-    ).orderBy(_desc("year"), _desc("quarter"))
+    ).orderBy(_desc("year"), _desc("quarter"), "symbol", "concept", "name", "value")
     return expand_counted(rows) if expand else rows
 
 
@@ -114,8 +118,11 @@ def company_health(
         "total_liabilities": bs & (concept == liabilities),
         "operating_cash_flow": cf & (concept == operating_cash_flow),
     }
-    data = _data(tables, (assets, liabilities, operating_cash_flow))
-    per_symbol = data.groupBy("symbol").agg(
+    facts = filings.fact_groups(
+        tables, [F.sum(F.col("value").cast(EXACT)).alias("value")],
+        tags=(assets, liabilities, operating_cash_flow),
+    )
+    per_symbol = facts.groupBy("symbol").agg(
         *[sum_where(condition).alias(name) for name, condition in wanted.items()]
     )
     names = counted(filings.financial_metadata(tables), ["symbol", "name"])
@@ -131,17 +138,21 @@ def quarterly_trends(
     parts: Sequence[str] = ("bs", "cf"), data_type: str | None = None,
 ) -> DataFrame:
     """Highest revenue and net income of each company beside each of its periods."""
-    data = _data(tables, parts=parts)
+    facts = filings.fact_groups(
+        tables, [F.max(F.col("value").cast("double")).alias("value")], parts
+    )
     if data_type is not None:
-        data = data.filter(F.col("data_type") == data_type)
-    per_symbol = data.groupBy("symbol").agg(
+        facts = facts.filter(F.col("data_type") == data_type)
+    per_symbol = facts.groupBy("symbol").agg(
         max_where("concept", revenue, "value").alias("revenue"),
         max_where("concept", net_income, "value").alias("net_income"),
     )
     periods = filings.financial_metadata(tables).select(
         "symbol", "name", "year", "quarter"
     ).distinct()
-    return periods.join(per_symbol, "symbol").orderBy(_desc("year"), _desc("quarter"))
+    return periods.join(per_symbol, "symbol").orderBy(
+        _desc("year"), _desc("quarter"), "symbol", "name"
+    )
 
 
 # ---- statement tables ----------------------------------------------------

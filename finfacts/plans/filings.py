@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finfacts.functions import (
     clean_text, doc_quarter, doc_value, doc_year, norm_symbol, parse_period,
@@ -143,6 +143,31 @@ def data_table(
     return table.withColumn("id", F.xxhash64(*table.columns)) if ids else table
 
 
+def placed_tags(tables: Tables, parts: Sequence[str] = LOADED_PARTS) -> DataFrame:
+    """Tags shown by accepted filings: ``adsh, tag, symbol, data_type, info``, one row each."""
+    known = tables["tag"].select("tag").distinct()
+    headers = filing_headers(tables["sub"], tables["sym"]).select("adsh", "symbol")
+    return (
+        _placements(tables["pre"], parts).join(known, "tag", "left_semi").join(headers, "adsh")
+        .withColumnRenamed("stmt", "data_type")
+    )
+
+
+def fact_groups(
+    tables: Tables, aggregates: Sequence[Column], parts: Sequence[str] = LOADED_PARTS,
+    tags: Sequence[str] | None = None,
+) -> DataFrame:
+    """Aggregates of the document values per filing and tag, with the tag's placement.
+
+    The values are reduced before their only shuffle, whatever filing or tag holds most.
+    """
+    num = tables["num"] if tags is None else tables["num"].filter(F.col("tag").isin(*tags))
+    reduced = _numeric(num, exact=False).groupBy("adsh", "tag").agg(*aggregates)
+    return reduced.join(placed_tags(tables, parts), ["adsh", "tag"]).withColumnRenamed(
+        "tag", "concept"
+    )
+
+
 def financial_data(
     tables: Tables, parts: Sequence[str] = LOADED_PARTS, exact: bool = False,
     ids: bool = False,
@@ -152,14 +177,9 @@ def financial_data(
     Everything but the value comes from the presentation rows, so ``num`` is
     shuffled once, by filing and tag.
     """
-    tags = tables["tag"].select("tag").distinct()
-    headers = filing_headers(tables["sub"], tables["sym"]).select("adsh", "symbol")
-    placed = (
-        _placements(tables["pre"], parts).join(tags, "tag", "left_semi").join(headers, "adsh")
-    )
-    facts = _numeric(tables["num"], exact).join(placed, ["adsh", "tag"]).select(
-        "symbol", F.col("stmt").alias("data_type"), F.col("tag").alias("concept"), "info",
-        "unit", "value",
+    placed = placed_tags(tables, parts)
+    facts = _numeric(tables["num"], exact).join(placed, ["adsh", "tag"]).withColumnRenamed(
+        "tag", "concept"
     )
     return data_table(facts, ids)
 

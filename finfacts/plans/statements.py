@@ -10,9 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from finfacts.functions import (
-    norm_fiscal_period, norm_unit, safe_date, safe_decimal, statement_source,
+    is_fiscal_period, norm_fiscal_period, norm_unit, safe_date, safe_decimal, statement_source,
 )
-from finfacts.operators.aggregates import pivot_metrics, with_ratios
+from finfacts.operators.aggregates import max_where, pivot_metrics, with_ratios
 from finfacts.operators.joins import join_dimension, join_filing
 from finfacts.schema import (
     FISCAL_PERIODS, METRIC_COLUMNS, SOURCE_LABELS, STATEMENT_TAGS,
@@ -43,33 +43,37 @@ def filter_statement(num: DataFrame, statements: Sequence[str]) -> DataFrame:
     )
 
 
-def _values(num: DataFrame, tags: Sequence[str]) -> DataFrame:
-    """Numeric values of the given tags; both filters sit next to the scan."""
-    parsed = num.filter(F.col("tag").isin(*tags) & F.col("value").isNotNull()).select(
+def _numbers(num: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """Parsed values of the given tags; both filters sit next to the scan.
+
+    A text that is no number stays as NULL: filtering it here would parse each
+    value twice.
+    """
+    return num.filter(F.col("tag").isin(*tags) & F.col("value").isNotNull()).select(
         "adsh", F.col("tag").alias("metric_code"),
         norm_unit(F.col("uom")).alias("measurement_unit"),
         safe_decimal(F.col("value")).alias("metric_value"),
     )
-    return parsed.filter(F.col("metric_value").isNotNull())
 
 
-def _filings(sub: DataFrame) -> DataFrame:
-    """Filing header in the shape of the staging statements."""
-    return sub.filter(F.col("cik").isNotNull()).select(
+def _filings(sub: DataFrame, complete_only: bool = False) -> DataFrame:
+    """Filing header in the shape of the staging statements.
+
+    ``complete_only`` applies the guards of the fact table to the raw columns.
+    """
+    kept = F.col("cik").isNotNull()
+    if complete_only:
+        kept = (
+            kept & F.col("fy").isNotNull() & is_fiscal_period(F.col("fp"))
+            & safe_date(F.col("period")).isNotNull()
+        )
+    return sub.filter(kept).select(
         "adsh", F.col("cik").alias("company_symbol"), F.col("period").alias("filing_date"),
         F.col("fy").alias("fiscal_year"),
         norm_fiscal_period(F.col("fp")).alias("fiscal_period"),
     )
 
 
-def _complete(filing_date: Column) -> Column:
-    """Guard of the fact table on the filing columns."""
-    return (
-        safe_date(filing_date).isNotNull() & F.col("fiscal_year").isNotNull()
-        & F.col("fiscal_period").isin(*FISCAL_PERIODS)
-    )
-
-
 def _staged(tables: Tables, statements: Sequence[str], complete_only: bool) -> DataFrame:
     """Distinct staging rows of several statements from a single pass over ``num``.
 
@@ -78,10 +82,9 @@ def _staged(tables: Tables, statements: Sequence[str], complete_only: bool) -> D
     the result is distinct again and the label fan-out is never shuffled.
     """
     tags = statement_tags(statements)
-    filings = _filings(tables["sub"])
-    if complete_only:
-        filings = filings.filter(_complete(F.col("filing_date")))
-    base = join_filing(_values(tables["num"], tags), filings).drop("adsh").distinct()
+    filings = _filings(tables["sub"], complete_only)
+    values = _numbers(tables["num"], tags).filter(F.col("metric_value").isNotNull())
+    base = join_filing(values, filings).drop("adsh").distinct()
     labels = tables["tag"].filter(F.col("tag").isin(*tags)).select(
         F.col("tag").alias("metric_code"), F.col("tlabel").alias("metric_name"),
         F.col("datatype").alias("metric_info"),
@@ -112,13 +115,18 @@ def stg_cash_flow(tables: Tables) -> DataFrame:
     return staging(tables, "cash_flow")
 
 
+def _dated(staged: DataFrame) -> DataFrame:
+    """Staging rows as facts, with the filing date parsed."""
+    return staged.withColumn("filing_date", safe_date(F.col("filing_date"))).select(*FACT_COLUMNS)
+
+
 def facts_from_staging(staged: DataFrame) -> DataFrame:
-    """Guard staging rows and parse their filing date."""
-    kept = staged.filter(
+    """Guard stored staging rows and parse their filing date."""
+    return _dated(staged.filter(
         F.col("company_symbol").isNotNull() & F.col("metric_value").isNotNull()
-        & _complete(F.col("filing_date"))
-    )
-    return kept.withColumn("filing_date", safe_date(F.col("filing_date"))).select(*FACT_COLUMNS)
+        & safe_date(F.col("filing_date")).isNotNull() & F.col("fiscal_year").isNotNull()
+        & F.col("fiscal_period").isin(*FISCAL_PERIODS)
+    ))
 
 
 def fct_financial_statements(tables: Tables, load_time: bool = False) -> DataFrame:
@@ -126,7 +134,7 @@ def fct_financial_statements(tables: Tables, load_time: bool = False) -> DataFra
 
     Its company check needs no join: every row takes its company from ``sub``.
     """
-    facts = facts_from_staging(_staged(tables, tuple(STATEMENT_TAGS), complete_only=True))
+    facts = _dated(_staged(tables, tuple(STATEMENT_TAGS), complete_only=True))
     return facts.withColumn("dbt_loaded_at", F.current_timestamp()) if load_time else facts
 
 
@@ -147,13 +155,18 @@ def _per_filing(tables: Tables, columns: Mapping[str, str]) -> DataFrame:
         tables["tag"].filter(F.col("tag").isin(*tags))
         .select(F.col("tag").alias("metric_code")).distinct()
     )
-    values = _values(tables["num"], tags).join(known, "metric_code", "left_semi")
-    return pivot_metrics(values, ["adsh"], columns=columns)
+    values = _numbers(tables["num"], tags).join(known, "metric_code", "left_semi")
+    pivoted = values.groupBy("adsh").agg(
+        F.count("metric_value").alias("_values"),
+        *[max_where("metric_code", tag, "metric_value").alias(name)
+          for name, tag in columns.items()],
+    )
+    return pivoted.filter(F.col("_values") > 0).drop("_values")
 
 
 def company_metrics(tables: Tables) -> DataFrame:
     """Twelve metrics and eight ratios per company and period, out of the raw tables."""
-    filings = _filings(tables["sub"]).filter(_complete(F.col("filing_date"))).withColumn(
+    filings = _filings(tables["sub"], complete_only=True).withColumn(
         "filing_date", safe_date(F.col("filing_date"))
     )
     joined = join_filing(_per_filing(tables, METRIC_COLUMNS), filings)

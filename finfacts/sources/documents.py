@@ -60,6 +60,6 @@ def write_documents(docs: DataFrame, dst: str, period: str | None = None) -> Non
         docs = docs.withColumn("period_folder", F.lit(period))
     (
         docs.select("period_folder", *DOC_HEADER, "part", "data")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .hint("rebalance", "period_folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False).partitionBy("period_folder").json(dst)
     )

@@ -40,5 +40,5 @@ def missing_periods(
     spark: SparkSession, manifest: DataFrame, last: int, first: int = FIRST_YEAR
 ) -> DataFrame:
     """Quarters of the calendar that the manifest does not hold."""
-    present = manifest.select("period_folder")
+    present = manifest.select("period_folder").distinct()
     return quarters(spark, first, last).join(present, "period_folder", "left_anti")

@@ -112,3 +112,26 @@ def typed(df: DataFrame, table: str, on_error: str = "null") -> DataFrame:
     return df.select(
         *[_typed(c, kinds.get(c)).alias(c) for c in RAW_COLUMNS[table]], *extra
     )
+
+
+def store_tables(tables: dict[str, DataFrame], root: str, files: int | None = None) -> None:
+    """Store raw tables as Parquet, one folder each, by period if they have one.
+
+    ``num`` and ``pre`` are sorted by tag within their files, so a query for some
+    tags skips the row groups of all others. ``files`` sets how many tasks write.
+    """
+    for name, df in tables.items():
+        period = ["period_folder"] if "period_folder" in df.columns else []
+        if files is not None:
+            df = df.repartition(files)
+        elif period:
+            df = df.hint("rebalance", *period)
+        if name in ("num", "pre"):
+            df = df.sortWithinPartitions(*period, "tag", "adsh")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if period else "static")
+        (writer.partitionBy(*period) if period else writer).parquet(f"{root}/{name}")
+
+
+def stored_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Raw tables stored by ``store_tables``."""
+    return {name: spark.read.parquet(f"{root}/{name}") for name in names}

@@ -16,7 +16,8 @@ def save_model(
     """Materialize a model: a temporary view named ``target``, or Parquet under that path.
 
     A partitioned table replaces the partitions it writes; ``mode='replace'``
-    replaces the whole table.
+    replaces the whole table. Rows are rebalanced by partition before they are
+    written: small partitions share a task, a large one is split.
     """
     if materialized == "view":
         df.createOrReplaceTempView(target)
@@ -24,6 +25,8 @@ def save_model(
     if materialized != "table" or mode not in ("period", "replace"):
         raise ValueError("materialized is 'table' or 'view', mode is 'period' or 'replace'")
     overwrite = "dynamic" if partition_by and mode == "period" else "static"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -36,7 +36,7 @@ def _land(batch: DataFrame, batch_id: int, dst: str, parts: Sequence[str]) -> No
     }
     for name, rows in tables.items():
         (
-            rows.withColumn("ingest_batch", F.lit(batch_id))
+            rows.withColumn("ingest_batch", F.lit(batch_id)).hint("rebalance", "period_folder")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("period_folder", "ingest_batch").parquet(f"{dst}/{name}")
         )

@@ -21,9 +21,14 @@ def test_salted_join_equals_plain_join(spark):
 
 def test_salted_join_spreads_a_hot_key(spark):
     right = frame(spark, "tag label", ("hot", "a"))
-    salt = F.pmod(F.xxhash64("tag", "v"), F.lit(8))
-    sizes = hot(spark).filter("tag = 'hot'").groupBy(salt.alias("s")).count()
-    assert sizes.count() == 8 and sizes.agg(F.max("count")).first()[0] < 40
+    joined = C.salted_join(hot(spark).repartition(3), right, "tag", salts=8)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+    copies = spark.range(0, 400, 1, 8).select(F.lit("hot").alias("tag"), F.lit(1).alias("v"))
+    salt = F.pmod(F.xxhash64("tag", "v") + F.spark_partition_id(), F.lit(8))
+    sizes = copies.groupBy(salt.alias("s")).count()
+    assert sizes.count() == 8 and sizes.agg(F.max("count")).first()[0] == 50
+    assert C.salted_join(copies, right, "tag", salts=8).count() == 400
 
 
 def test_broadcast_check_measures_rows_and_bytes(spark):
