@@ -9,15 +9,18 @@ from pyspark.sql import Column, functions as F
 from finfacts.schema import DOCUMENT_PARTS, SYMBOL_MAX_LENGTH, SYMBOL_MIN_LENGTH
 
 
+WHITE_SPACE = " \t\n\r\f\v"
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of every kind (``trim`` removes spaces only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def clean_text(text: Column, label: bool = False) -> Column:
     """Drop carriage returns and turn line feeds into spaces; labels lose double quotes."""
-    cleaned = F.translate(text, "\n\r", " ")
-    return F.translate(cleaned, '"', "'") if label else cleaned
+    cleaned = F.replace(F.replace(text, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" "))
+    return F.replace(cleaned, F.lit('"'), F.lit("'")) if label else cleaned
 
 
 def norm_symbol(symbol: Column) -> Column:

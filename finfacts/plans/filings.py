@@ -20,32 +20,38 @@ from finfacts.operators.nested import (
     FACTS_PER_DOCUMENT, assemble_documents, document_metadata, flatten_documents,
 )
 from finfacts.plans.statements import Tables
-from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS, LOADED_PARTS
+from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS, LOADED_PARTS, PERIOD_MONTHS
 
 ACCEPTED = "ok"
 
 
+def _with_ticker(sub: DataFrame, sym: DataFrame) -> DataFrame:
+    """Filings with the normalized first ticker of their company; ``_listed`` if it has any."""
+    tickers = lookup_symbol(sym).select(
+        "cik", norm_symbol(F.col("symbol")).alias("symbol"), F.lit(True).alias("_listed")
+    )
+    return sub.join(tickers, "cik", "left")
+
+
+def _header() -> list[Column]:
+    """Document header out of the columns of a filing with ticker."""
+    start, quarter = parse_period(F.col("period")), doc_quarter(F.col("fp"))
+    return [
+        start.alias("startDate"), period_end(start, quarter).alias("endDate"),
+        doc_year(F.col("fy")).alias("year"), quarter.alias("quarter"), F.col("symbol"),
+        clean_text(F.col("name")).alias("name"), clean_text(F.col("countryma")).alias("country"),
+        clean_text(F.col("cityma")).alias("city"),
+    ]
+
+
 def filing_status(sub: DataFrame, sym: DataFrame) -> DataFrame:
     """Document header of every filing with a ``status``: ok or the first reason to reject it."""
-    headed = sub.join(lookup_symbol(sym).withColumnRenamed("symbol", "_ticker"), "cik", "left")
-    header = headed.select(
-        "adsh",
-        parse_period(F.col("period")).alias("startDate"),
-        period_end(
-            parse_period(F.col("period")), doc_quarter(F.col("fp"))
-        ).alias("endDate"),
-        doc_year(F.col("fy")).alias("year"),
-        doc_quarter(F.col("fp")).alias("quarter"),
-        norm_symbol(F.col("_ticker")).alias("symbol"),
-        *[clean_text(F.col(c)).alias(n) for c, n in
-          (("name", "name"), ("countryma", "country"), ("cityma", "city"))],
-        F.col("_ticker").isNotNull().alias("_listed"),
-    )
+    header = _with_ticker(sub, sym).select("adsh", *_header(), "_listed")
     reason = (
         F.when(F.col("startDate").isNull(), "bad period")
         .when(F.col("year").isNull(), "bad year")
         .when(F.col("endDate").isNull(), "bad quarter")
-        .when(~F.col("_listed"), "no symbol")
+        .when(F.col("_listed").isNull(), "no symbol")
         .when(F.col("symbol").isNull(), "bad symbol")
         .otherwise(ACCEPTED)
     )
@@ -58,9 +64,18 @@ def filing_status_counts(sub: DataFrame, sym: DataFrame) -> DataFrame:
 
 
 def filing_headers(sub: DataFrame, sym: DataFrame) -> DataFrame:
-    """Document headers of the accepted filings."""
-    accepted = filing_status(sub, sym).filter(F.col("status") == ACCEPTED)
-    return accepted.select("adsh", *DOC_HEADER)
+    """Document headers of the accepted filings: those with status ok.
+
+    Written as plain conditions on the raw columns, which filter the filings
+    before the ticker join.
+    """
+    codes = [code for group in PERIOD_MONTHS.values() for code in group]
+    kept = sub.filter(
+        parse_period(F.col("period")).isNotNull() & doc_year(F.col("fy")).isNotNull()
+        & doc_quarter(F.col("fp")).isin(*codes)
+    )
+    listed = _with_ticker(kept, sym).filter(F.col("symbol").isNotNull())
+    return listed.select("adsh", *_header())
 
 
 def _placements(pre: DataFrame, parts: Sequence[str]) -> DataFrame:
