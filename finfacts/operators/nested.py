@@ -15,32 +15,36 @@ FACTS_PER_DOCUMENT = 50_000
 FACT = ("label", "concept", "info", "unit", "value")
 
 
-def _part_count(limit: int) -> Column:
-    return F.coalesce(F.ceil(F.col("_total") / F.lit(limit)), F.lit(1)).cast("int")
+def with_part_count(
+    headers: DataFrame, sizes: DataFrame, limit: int = FACTS_PER_DOCUMENT
+) -> DataFrame:
+    """Headers with the number of ``parts`` of each filing.
+
+    ``sizes`` bounds the facts of a filing from above (``adsh, facts``).
+    """
+    large = sizes.filter(F.col("facts") > limit)
+    parts = F.coalesce(F.ceil(F.col("facts") / F.lit(limit)), F.lit(1)).cast("int")
+    return headers.join(large, "adsh", "left").withColumn("parts", parts).drop("facts")
 
 
 def assemble_documents(
     headers: DataFrame, facts: DataFrame, limit: int = FACTS_PER_DOCUMENT
 ) -> DataFrame:
-    """Documents of every filing in ``headers`` (key ``adsh``).
+    """Documents of every filing in ``headers`` (key ``adsh``, with its ``parts``).
 
     ``facts`` holds distinct ``adsh, stmt, label, concept, info, unit, value``
-    rows and how many ``copies`` of each exist. A filing above ``limit`` facts is
-    spread over several parts, copies included, so no array grows with the data.
-    Every fact is kept and every filing has a part 0, if only with empty arrays.
+    rows, how many ``copies`` of each exist and the ``parts`` of their filing. The
+    facts of a large filing are spread over its parts, copies included, so no
+    array grows with the data. Every fact is kept and every filing has a part 0,
+    if only with empty arrays.
     """
-    large = (
-        facts.groupBy("adsh").agg(F.sum("copies").alias("_total"))
-        .filter(F.col("_total") > limit)
-    )
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / limit))
     chunk_copies = F.least(F.lit(limit), F.col("copies") - F.col("_chunk") * limit)
     placed = (
-        facts.join(large, "adsh", "left")
-        .withColumn("_chunk", F.explode(chunks))
+        facts.withColumn("_chunk", F.explode(chunks))
         .withColumn("_copies", chunk_copies.cast("int"))
         .withColumn("part", F.pmod(
-            F.xxhash64("stmt", *FACT, "_chunk"), _part_count(limit).cast("bigint")
+            F.xxhash64("stmt", *FACT, "_chunk"), F.col("parts").cast("bigint")
         ).cast("int"))
     )
     item = F.struct(*FACT, "_copies")
@@ -48,15 +52,13 @@ def assemble_documents(
         F.sort_array(F.collect_list(F.when(F.col("stmt") == p, item))).alias(p)
         for p in DOCUMENT_PARTS
     ]).select("adsh", "part", *[_write_out(p).alias(p) for p in DOCUMENT_PARTS])
-    parts = (
-        headers.join(large, "adsh", "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), _part_count(limit) - 1)))
-        .drop("_total")
+    numbered = headers.withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
-    filled = parts.join(arrays, ["adsh", "part"], "left")
+    filled = numbered.join(arrays, ["adsh", "part"], "left")
     data = F.struct(*[F.coalesce(F.col(p), F.array()).alias(p) for p in DOCUMENT_PARTS])
     return filled.select(
-        *[c for c in headers.columns if c not in DOC_HEADER], *DOC_HEADER, "part",
+        *[c for c in headers.columns if c not in (*DOC_HEADER, "parts")], *DOC_HEADER, "part",
         data.alias("data"),
     )
 

@@ -18,6 +18,7 @@ from finfacts.operators.joins import (
 )
 from finfacts.operators.nested import (
     FACTS_PER_DOCUMENT, assemble_documents, document_metadata, flatten_documents,
+    with_part_count,
 )
 from finfacts.plans.statements import Tables
 from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS, LOADED_PARTS, PERIOD_MONTHS
@@ -101,7 +102,7 @@ def document_facts(
 ) -> DataFrame:
     """Distinct facts of the filings in ``headers`` with the number of ``copies`` of each.
 
-    Tag texts and captions are attached to the presentation rows, one per filing
+    Columns of ``headers`` such as the number of parts are passed on. Tag texts and captions are attached to the presentation rows, one per filing
     and tag; equal values are counted before the first shuffle of ``num``.
     """
     docs = lookup_tag_doc(tables["tag"]).select(
@@ -109,14 +110,14 @@ def document_facts(
     )
     placed = (
         _placements(tables["pre"], parts)
-        .join(headers.select("adsh"), "adsh", "left_semi").join(docs, "tag")
+        .join(headers, "adsh").join(docs, "tag")
     )
     values = _numeric(tables["num"], exact).groupBy("adsh", "tag", "unit", "value").agg(
         F.count("*").alias("copies")
     )
     return values.join(placed, ["adsh", "tag"]).select(
-        "adsh", "stmt", "label", F.col("tag").alias("concept"), "info", "unit", "value",
-        "copies",
+        *headers.columns, "stmt", "label", F.col("tag").alias("concept"), "info", "unit",
+        "value", "copies",
     )
 
 
@@ -131,7 +132,12 @@ def filing_documents(
     if "period_folder" in tables["sub"].columns:
         folders = first_by(tables["sub"], ["adsh"], [], ["period_folder"])
         headers = headers.join(folders, "adsh")
-    return assemble_documents(headers, document_facts(tables, headers, parts, exact), limit)
+    sizes = tables["num"].filter(F.col("value").isNotNull()).groupBy("adsh").agg(
+        F.count("*").alias("facts")
+    )
+    counted = with_part_count(headers, sizes, limit)
+    facts = document_facts(tables, counted.select("adsh", "parts"), parts, exact)
+    return assemble_documents(counted, facts, limit)
 
 
 def metadata_table(

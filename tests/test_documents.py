@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import frame, rows
-from finfacts.operators.nested import assemble_documents, document_metadata, flatten_documents
+from finfacts.operators.nested import (
+    assemble_documents, document_metadata, flatten_documents, with_part_count,
+)
 from finfacts.plans import filings as P
 from finfacts.schema import DOCUMENT_PARTS
 
@@ -60,7 +62,10 @@ def test_large_filings_are_split_and_kept_whole(spark):
     same = varied.limit(1).withColumns({"adsh": F.lit("copies"), "copies": F.lit(777).cast("long")})
     small = varied.limit(1).withColumn("adsh", F.lit("small"))
     facts = varied.union(same).union(small)
-    docs = assemble_documents(headers, facts, limit=100)
+    sizes = facts.groupBy("adsh").agg(F.sum("copies").alias("facts"))
+    counted = with_part_count(headers, sizes, limit=100)
+    facts = facts.join(counted.select("adsh", "parts"), "adsh")
+    docs = assemble_documents(counted, facts, limit=100)
     sizes = docs.groupBy("adsh").agg(
         F.sum(F.size("data.bs")).alias("facts"), F.max(F.size("data.bs")).alias("widest"),
         F.count("*").alias("parts"), F.countDistinct("part").alias("numbers"))
