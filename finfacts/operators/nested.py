@@ -47,11 +47,10 @@ def assemble_documents(
             F.xxhash64("stmt", *FACT, "_chunk"), F.col("parts").cast("bigint")
         ).cast("int"))
     )
-    item = F.struct(*FACT, "_copies")
-    arrays = placed.groupBy("adsh", "part").agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("stmt") == p, item))).alias(p)
-        for p in DOCUMENT_PARTS
-    ]).select("adsh", "part", *[_write_out(p).alias(p) for p in DOCUMENT_PARTS])
+    item = F.struct("stmt", *FACT, "_copies")
+    arrays = placed.groupBy("adsh", "part").agg(
+        F.sort_array(F.collect_list(item)).alias("_facts")
+    ).select("adsh", "part", *[_write_out("_facts", p).alias(p) for p in DOCUMENT_PARTS])
     numbered = headers.withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
@@ -63,9 +62,10 @@ def assemble_documents(
     )
 
 
-def _write_out(column: str) -> Column:
-    """Repeat each collected fact as often as it has copies."""
-    return F.flatten(F.transform(column, lambda f: F.array_repeat(
+def _write_out(column: str, part: str) -> Column:
+    """Facts of one document part, each repeated as often as it has copies."""
+    chosen = F.filter(column, lambda f: f["stmt"] == part)
+    return F.flatten(F.transform(chosen, lambda f: F.array_repeat(
         F.struct(*[f[name].alias(name) for name in FACT]), f["_copies"]
     )))
 
