@@ -1,11 +1,15 @@
 """The queries of this package and their check SQL."""
 
-from finfacts.llm import line_dedup
+from finfacts.llm import chat_format, line_dedup, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op10_chat_format": chat_format.op10_chat_format,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op2_url_filter": url_filter.OP2_SQL,
+    "op10_chat_format": chat_format.OP10_SQL,
 }
