@@ -1,12 +1,16 @@
 """The queries of this package and their check SQL."""
 
-from finfacts.llm import chat_format, line_dedup, quality_rules, simhash_dedup, url_filter
+from finfacts.llm import (
+    chat_format, line_dedup, packing, quality_rules, simhash_dedup, token_store, url_filter,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_token_store": token_store.op7_token_store,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
