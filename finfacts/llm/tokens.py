@@ -54,8 +54,98 @@ def packed(ids) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Encoder:
-    """Ids of texts as packed bytes; equal to the library's ids of the whole text.
+class WordEncoder:
+    """Ids of texts as packed bytes, from the ids of their units, which a worker remembers.
+
+    A subclass gives the ids of a whole text, of a unit and the cut of a column.
+    """
+
+    # Ids at the start of every text that its cut has added.
+    lead = 0
+
+    def __init__(self) -> None:
+        self.new: dict[bytes, bytes | None] = {}
+        self.old: dict[bytes, bytes | None] = {}
+
+    def encode(self, text: bytes) -> bytes:
+        """Packed ids of a whole text."""
+        raise NotImplementedError
+
+    def cut(self, column: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """The units of every text, and which texts must not be cut."""
+        raise NotImplementedError
+
+    def unit(self, item: bytes) -> bytes:
+        """The unit behind an item of the cut."""
+        return item
+
+    def compute(self, units: list[bytes]) -> list[bytes | None]:
+        """Ids of units; None where only the whole text decides."""
+        raise NotImplementedError
+
+    def _lookup(self, units: list[bytes]) -> tuple[list[bytes], list[int]]:
+        parts = list(map(self.new.get, units, repeat(b"")))
+        missing = [i for i, part in enumerate(parts) if part == b"" and units[i]]
+        unknown = []
+        for i in missing:
+            parts[i] = self.old.get(units[i], b"")
+            if parts[i] == b"":
+                unknown.append(i)
+        for i, part in zip(unknown, self.compute([units[i] for i in unknown])):
+            parts[i] = part
+        if len(self.new) >= KNOWN // 2:
+            self.old, self.new = self.new, {}
+        self.new.update((units[i], parts[i]) for i in missing)
+        open_ = [i for i, part in enumerate(parts) if part is None]
+        for i in open_:
+            parts[i] = b""
+        return parts, open_
+
+    def encode_many(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For slices of a text column: all ids in a row, and where each text's ids end."""
+        column = pc.fill_null(column, "")
+        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(column):
+            before = sizes[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, before + CHUNK, "right")))
+            yield self._slice(column.slice(at, to - at))
+            at = to
+
+    def _slice(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists, whole = self.cut(column)
+        ends = lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        encoded = lists.flatten().dictionary_encode()
+        units = list(map(self.unit, encoded.dictionary.cast(pa.binary()).to_pylist()))
+        index = encoded.indices.to_numpy(zero_copy_only=False)
+        parts, open_ = self._lookup(units)
+        if open_:
+            bad = np.append(0, np.cumsum(np.isin(index, open_)))
+            whole |= np.diff(bad[ends]) > 0
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts = np.cumsum(lengths) - lengths
+        counts = lengths[index]
+        upto = np.cumsum(counts)
+        place = np.repeat(starts[index] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)
+        out = ids[place]
+        bounds = np.append(0, upto)[ends[1:]]
+        if not self.lead and not whole.any():
+            return out, bounds
+        texts, begin, split = [], 0, []
+        for i, end in enumerate(bounds.tolist()):
+            if whole[i]:
+                texts.append(np.frombuffer(self.encode(column[i].as_py().encode()), "<u4"))
+            else:
+                texts.append(out[begin + self.lead:end])
+            split.append(len(texts[-1]))
+            begin = end
+        return np.concatenate(texts), np.cumsum(split)
+
+
+class Encoder(WordEncoder):
+    """Ids by the tokenizers library; equal to the library's ids of the whole text.
 
     ``words`` tells a vocabulary that drops white space and lower-cases from a byte-level
     one. Strings of special tokens in a text are ordinary text.
@@ -64,12 +154,11 @@ class Encoder:
     def __init__(self, path: str, words: bool) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.words = words
-        self.new: dict[bytes, bytes | None] = {}
-        self.old: dict[bytes, bytes | None] = {}
+        self.words, self.lead = words, 0 if words else 1
         self.pieces: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {b"": b""}
 
@@ -124,89 +213,23 @@ class Encoder:
         text = unit.decode("utf-8", "replace")
         return None if _WIDE.search(text) else self.whole(text)
 
-    def _missing(self, unit: bytes) -> bytes | None:
-        got = self.old.get(unit, b"")
-        if got == b"":
-            got = self._compute(unit)
-        if len(self.new) >= KNOWN // 2:
-            self.old, self.new = self.new, {}
-        self.new[unit] = got
-        return got
+    def compute(self, units: list[bytes]) -> list[bytes | None]:
+        return list(map(self._compute, units))
 
     def encode(self, text: bytes) -> bytes:
-        """Packed ids of a whole text."""
-        units = text.split() if self.words else _UNITS.findall(text)
-        parts = list(map(self.new.get, units, repeat(b"")))
-        if b"" in parts:
-            for i, part in enumerate(parts):
-                if part == b"":
-                    parts[i] = self._missing(units[i])
-        if not self.words and None in parts:
-            return self.whole(text.decode("utf-8", "replace"))
-        return b"".join(parts)
+        parts, open_ = self._lookup(text.split() if self.words else _UNITS.findall(text))
+        return self.whole(text.decode("utf-8", "replace")) if open_ else b"".join(parts)
 
-    def _lookup(self, units: list[bytes]) -> tuple[list[bytes], list[int]]:
-        """Ids of units, and the places of those that only their whole text decides."""
-        parts = list(map(self.new.get, units, repeat(b"")))
-        if b"" in parts:
-            for i, part in enumerate(parts):
-                if part == b"" and units[i]:
-                    parts[i] = self._missing(units[i])
-        open_ = [i for i, part in enumerate(parts) if part is None]
-        for i in open_:
-            parts[i] = b""
-        return parts, open_
+    def unit(self, item: bytes) -> bytes:
+        return item if self.words or item[:1] in (b"\n", b"") else b" " + item
 
-    def encode_many(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For slices of a text column: all ids in a row, and where each text's ids end."""
-        column = pc.fill_null(column, "")
-        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
-        at = 0
-        while at < len(column):
-            before = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, before + CHUNK, "right")))
-            yield self._slice(column.slice(at, to - at))
-            at = to
-
-    def _slice(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def cut(self, column: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
         if self.words:
-            lists = pc.ascii_split_whitespace(column)
-            whole = np.zeros(len(column), bool)
-        else:
-            # Every unit begins with a space or line feed; the first line feed is taken off below.
-            led = pc.binary_join_element_wise(pa.scalar("\n"), column, pa.scalar(""))
-            whole = pc.match_substring_regex(led, _MIXED).to_numpy(zero_copy_only=False)
-            lists = pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
-        ends = lists.offsets.to_numpy()
-        ends = ends - ends[0]
-        encoded = lists.flatten().dictionary_encode()
-        units = encoded.dictionary.cast(pa.binary()).to_pylist()
-        if not self.words:
-            units = [u if u[:1] in (b"\n", b"") else b" " + u for u in units]
-        index = encoded.indices.to_numpy(zero_copy_only=False)
-        parts, open_ = self._lookup(units)
-        if open_:
-            bad = np.isin(index, open_)
-            whole |= np.add.reduceat(np.append(bad, 0), ends[:-1]).astype(bool) & (np.diff(ends) > 0)
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        starts = np.cumsum(lengths) - lengths
-        counts = lengths[index]
-        upto = np.cumsum(counts)
-        place = np.repeat(starts[index] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)
-        out = ids[place]
-        bounds = np.append(0, upto)[ends[1:]]
-        if self.words and not whole.any():
-            return out, bounds
-        texts, begin, split = [], 0, []
-        for i, end in enumerate(bounds.tolist()):
-            if whole[i]:
-                texts.append(np.frombuffer(self.encode(column[i].as_py().encode()), "<u4"))
-            else:
-                texts.append(out[begin + (not self.words):end])
-            split.append(len(texts[-1]))
-            begin = end
-        return np.concatenate(texts), np.cumsum(split)
+            return pc.ascii_split_whitespace(column), np.zeros(len(column), bool)
+        # Every unit begins with a space or line feed; the first line feed is taken off again.
+        led = pc.binary_join_element_wise(pa.scalar("\n"), column, pa.scalar(""))
+        mixed = pc.match_substring_regex(led, _MIXED).to_numpy(zero_copy_only=False)
+        return pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " "), mixed.copy()
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
