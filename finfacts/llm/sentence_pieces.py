@@ -258,18 +258,20 @@ def _encoder(path: str) -> PieceEncoder:
     return _MODELS[path]
 
 
-def _encode(path: str) -> Mapper:
+def _encode(path: str, back: bool) -> Mapper:
     def run(batches: Batches) -> Batches:
         own = _encoder(path)
         for b in batches:
             at = 0
             for ids, ends in own.encode_many(b.column("text")):
                 offsets = pa.array(np.append(0, ends * 4), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("row").slice(at, len(ends)), pa.Array.from_buffers(
-                        pa.binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(ids)])],
-                    names=["row", "ids"],
-                )
+                columns = [b.column("row").slice(at, len(ends)), pa.Array.from_buffers(
+                    pa.binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(ids)])]
+                if back:
+                    begins = np.append(0, ends[:-1])
+                    columns.append(pa.array(
+                        [own.model.decode(ids[i:j].tolist()) for i, j in zip(begins, ends)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "decoded"][:len(columns)])
                 at += len(ends)
     return run
 
@@ -286,15 +288,18 @@ def _decode(path: str) -> Mapper:
     return run
 
 
-def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str, back: bool = False) -> DataFrame:
     """``docs`` with ``ids``: packed little-endian unsigned 32-bit ids of ``text``.
 
-    A null or empty text has no ids. A column named ``ids`` is replaced. Rows stay where
-    they are and keep their number; an empty table stays empty.
+    With ``back`` also ``decoded``, the text that the ids give, by the same worker. A null
+    or empty text has no ids. Columns named ``ids`` or ``decoded`` are replaced. Rows stay
+    where they are and keep their number; an empty table stays empty.
     """
     packed_rows = nested(docs, F.col("`text`").alias("text"))
     kind = packed_rows.schema["row"].dataType.simpleString()
-    return unnested(packed_rows.mapInArrow(_encode(path), f"row {kind}, ids binary"), docs.columns, "ids")
+    added = ["ids", "decoded"] if back else ["ids"]
+    fields = f"row {kind}, ids binary" + ", decoded string" * back
+    return unnested(packed_rows.mapInArrow(_encode(path, back), fields), docs.columns, *added)
 
 
 def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
@@ -315,7 +320,7 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode_pieces(encode_pieces(docs, path), path)
+    both = encode_pieces(docs, path, back=True)
     return both.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"),
