@@ -21,7 +21,7 @@ from finfacts.llm.common import Batches, Mapper, nested, table, texts, unnested
 
 HASH_BITS = 18
 # Bound of the fitted sample, chosen by a hash of the id.
-FIT_DOCUMENTS = 8000
+FIT_DOCUMENTS = 6000
 # A feature that fewer sampled documents hold is left out.
 MIN_DOCUMENTS = 5
 # Standard deviations from chance that a feature's sum of grades must reach.
@@ -33,7 +33,7 @@ LEVELS = 10
 KEEP_PROBABILITY = 0.6
 # Letters of a word's beginning.
 BEGINNING = 4
-KNOWN = 500_000
+KNOWN = 300_000
 
 _CLASSES = bytes(
     ord("a") if chr(b).islower() or b >= 128 else ord("A") if chr(b).isupper()

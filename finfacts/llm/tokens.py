@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from finfacts.llm.common import SPACES
 
 # Words kept by a worker; beyond that the older half goes.
-KNOWN = 1_000_000
-PIECES = 400_000
+KNOWN = 700_000
+PIECES = 300_000
 # Bytes of text that are looked up together.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 _MARKS = b".,;:!?|*$%&#"
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
