@@ -78,7 +78,8 @@ def with_start(shards: DataFrame) -> DataFrame:
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return shards.join(bases, "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
+    # One row per partition of the writer: the number of partitions bounds what is sent.
+    return shards.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
 
 
 def _read(batches: Batches) -> Batches:
