@@ -228,6 +228,9 @@ class PieceModel:
 class PieceEncoder(WordEncoder):
     """Ids of texts by a piece model."""
 
+    # A new word costs a search, so more of them are kept.
+    known = 700_000
+
     def __init__(self, model: PieceModel) -> None:
         super().__init__()
         self.model = model

@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 
 from finfacts.llm.common import SPACES
 
-# Words kept by a worker; beyond that the older half goes.
-KNOWN = 700_000
-PIECES = 300_000
+# Words kept by a worker, of which the older half goes at that number, and their parts.
+KNOWN = 300_000
+PIECES = 1_200_000
 # Bytes of text that are looked up together.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 
 _MARKS = b".,;:!?|*$%&#"
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -62,6 +62,7 @@ class WordEncoder:
 
     # Ids at the start of every text that its cut has added.
     lead = 0
+    known = KNOWN
 
     def __init__(self) -> None:
         self.new: dict[bytes, bytes | None] = {}
@@ -93,7 +94,7 @@ class WordEncoder:
                 unknown.append(i)
         for i, part in zip(unknown, self.compute([units[i] for i in unknown])):
             parts[i] = part
-        if len(self.new) >= KNOWN // 2:
+        if len(self.new) >= self.known // 2:
             self.old, self.new = self.new, {}
         self.new.update((units[i], parts[i]) for i in missing)
         open_ = [i for i, part in enumerate(parts) if part is None]
