@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from finfacts.sources.sinks import scratch_folder
 
@@ -45,6 +46,11 @@ def unnested(df: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
     return df.select(*kept, *more)
 
 
+def shape(df: DataFrame, columns: Sequence[str], more: str = "") -> StructType:
+    """The schema of some columns of ``df`` followed by further ones."""
+    return StructType([df.schema[c] for c in columns] + (StructType.fromDDL(more).fields if more else []))
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

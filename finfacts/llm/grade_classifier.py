@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finfacts.llm.common import Batches, Mapper, nested, table, texts, unnested
+from finfacts.llm.common import Batches, Mapper, nested, shape, table, texts, unnested
 
 HASH_BITS = 18
 # Bound of the fitted sample, chosen by a hash of the id.
@@ -267,10 +267,9 @@ def grade_documents(
             "*", F.lit(None).cast("double").alias("expected_grade"),
             F.lit(None).cast("array<double>").alias("tails"), F.lit(True).alias("kept"))
     rows = nested(docs, F.col("`text`").cast("binary").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
     scored = rows.mapInArrow(
         _score(model, False, keep_probability),
-        f"row {kind}, expected_grade double, tails array<double>, kept boolean")
+        shape(rows, ["row"], "expected_grade double, tails array<double>, kept boolean"))
     return unnested(scored, docs.columns, *added)
 
 
@@ -281,8 +280,8 @@ def select_documents(
     if model is None:
         return docs
     rows = nested(docs, F.col("`text`").cast("binary").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return unnested(rows.mapInArrow(_score(model, True, keep_probability), f"row {kind}"), docs.columns)
+    kept = rows.mapInArrow(_score(model, True, keep_probability), shape(rows, ["row"]))
+    return unnested(kept, docs.columns)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

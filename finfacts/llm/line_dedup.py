@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
 from finfacts.llm.common import (
-    Batches, Mapper, SPACES, batch, content_key, nested, partitions, stored, table, texts, unnested,
+    Batches, Mapper, SPACES, batch, content_key, nested, partitions, shape, stored, table, texts, unnested,
 )
 
 FILTER_BITS = 1 << 29
@@ -232,9 +232,8 @@ def dedup_lines(
     joined = nested(docs, k1, k2).join(lists, ["k1", "k2"], "left").select(
         "row", F.col("row").getField("text").cast("binary").alias("text"), "drop", "first"
     )
-    row = joined.schema["row"].dataType.simpleString()
     rebuilt = joined.mapInArrow(
-        _rebuild(keep_first), f"row {row}, text string, n_lines long, n_dropped long"
+        _rebuild(keep_first), shape(joined, ["row"], "text string, n_lines long, n_dropped long")
     )
     return unnested(rebuilt, columns, "text", "n_lines", "n_dropped").select(
         *[f"`{c}`" for c in columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"

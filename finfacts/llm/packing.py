@@ -16,7 +16,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from finfacts.llm.common import Batches, Mapper, batch, stored, table
+from finfacts.llm.common import Batches, Mapper, batch, shape, stored, table
 from finfacts.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -166,9 +166,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = salted.withColumn("within", F.row_number().over(within) - 1) \
         .join(offsets, ["length", "rank"]) \
         .select(*[f"`{c}`" for c in columns], (F.col("base") + F.col("within")).cast("long").alias("rank"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
     return ranked.mapInArrow(
-        _place(Places(pack_lengths(histogram, capacity))), f"{fields}, sequence_id long, offset long"
+        _place(Places(pack_lengths(histogram, capacity))),
+        shape(inner, inner.columns, "sequence_id long, offset long"),
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh3_64_intdigest
 
 from finfacts.llm.common import (
-    Batches, SPACES, content_key, nested, stored, table, texts, unnested,
+    Batches, SPACES, content_key, nested, shape, stored, table, texts, unnested,
 )
 
 SYMBOLS = b"#*$%&|<>"
@@ -184,8 +184,7 @@ def rule_quality(
         F.struct("row", *added).alias("row"), "removed",
         F.coalesce(F.col("row").getField("text"), F.lit("")).cast("binary").alias("text"),
     )
-    kind = packed.schema["row"].dataType.simpleString()
-    clean = packed.mapInArrow(_without, f"row {kind}, text string")
+    clean = packed.mapInArrow(_without, shape(packed, ["row"], "text string"))
     flat = clean.select(F.col("row.row").alias("row"), "text", *[F.col(f"row.{c}").alias(c) for c in added])
     return unnested(flat, docs.columns, "text", *added).select(
         *[f"`{c}`" for c in docs.columns if c not in added], *added

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from finfacts.llm.common import Batches, Mapper, nested, table, unnested
+from finfacts.llm.common import Batches, Mapper, nested, shape, table, unnested
 from finfacts.llm.tokens import WordEncoder, packed
 
 MARKER = "▁"
@@ -299,9 +299,8 @@ def encode_pieces(docs: DataFrame, path: str, back: bool = False) -> DataFrame:
     where they are and keep their number; an empty table stays empty.
     """
     packed_rows = nested(docs, F.col("`text`").alias("text"))
-    kind = packed_rows.schema["row"].dataType.simpleString()
     added = ["ids", "decoded"] if back else ["ids"]
-    fields = f"row {kind}, ids binary" + ", decoded string" * back
+    fields = shape(packed_rows, ["row"], "ids binary" + ", decoded string" * back)
     return unnested(packed_rows.mapInArrow(_encode(path, back), fields), docs.columns, *added)
 
 
@@ -311,9 +310,8 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
     A column named ``decoded`` is replaced. Byte pieces that are no UTF-8 become U+FFFD.
     """
     packed_rows = nested(encoded, F.col("ids"))
-    kind = packed_rows.schema["row"].dataType.simpleString()
-    return unnested(packed_rows.mapInArrow(_decode(path), f"row {kind}, decoded string"),
-                    encoded.columns, "decoded")
+    decoded = packed_rows.mapInArrow(_decode(path), shape(packed_rows, ["row"], "decoded string"))
+    return unnested(decoded, encoded.columns, "decoded")
 
 
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
