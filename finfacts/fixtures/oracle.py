@@ -49,14 +49,14 @@ _TABLES = {
      ELSE l_extendedprice END AS decimal(28,4)) AS varchar) END AS value
  FROM lineitem JOIN tagdim t ON t.tid = l_partkey % 18""",
     "tag": """
- SELECT tag, 'us-gaap/2022' AS version, CASE WHEN tag LIKE 'Custom%' THEN '1' ELSE '0' END AS custom,
+ SELECT tag, 'us-gaap/' || v AS version, CASE WHEN tag LIKE 'Custom%' THEN '1' ELSE '0' END AS custom,
   '0' AS abstract, 'monetary' datatype, CASE stmt WHEN 'BS' THEN 'I' ELSE 'D' END iord,
-  tag || ' label' tlabel, 'Doc of ' || tag AS doc
- FROM tagdim WHERE tag <> 'UnlistedTag'
+  tag || ' ' || CASE v WHEN '2022' THEN lower(kind) ELSE 'v2' END tlabel, 'Doc of ' || pname || ' ' || v AS doc
+ FROM tagdim JOIN (SELECT p_partkey % 18 tid, min(p_type) kind, min(p_name) pname FROM part GROUP BY 1) p USING (tid)
+ JOIN (VALUES ('2022'), ('2023')) w(v) ON v = '2022' OR tid % 5 = 0
+ WHERE tag <> 'UnlistedTag'
  UNION ALL
- SELECT tag, 'us-gaap/2023', CASE WHEN tag LIKE 'Custom%' THEN '1' ELSE '0' END, '0', 'monetary',
-  CASE stmt WHEN 'BS' THEN 'I' ELSE 'D' END, tag || ' label v2', 'Doc v2 of ' || tag
- FROM tagdim WHERE tid % 5 = 0 AND tag <> 'UnlistedTag'""",
+ SELECT 'Own' || p_partkey, p_brand, '1', '0', 'monetary', 'D', p_type, p_name FROM part""",
     "pre": """
  SELECT DISTINCT lpad(CAST(l_orderkey AS varchar), 18, '0') adsh,
   CAST(l_linenumber % 3 + 1 AS varchar) report, CAST(l_linenumber AS varchar) AS line,

@@ -128,6 +128,13 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{landed}/financial_data").drop("ingest_batch")
 
 
+def _manifest_of_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of document folders whose names and number come from the data."""
+    return staged_manifest(spark, _write_documents(spark, sf_dir)).select(
+        F.regexp_replace("period_folder", "^period_folder=", "").alias("period_folder"),
+        (F.col("bytes") > 0).alias("filled"), F.col("archive").isNull().alias("no_archive"))
+
+
 add_direct("a1_read_raw",
     lambda spark, d: read_raw(spark, _write_raw(spark, d, ["num"]), "num", ["2022q4"]).select(
         "adsh", "tag", "version", "ddate", "qtrs", "uom", "value", "period_folder"),
@@ -138,9 +145,9 @@ add_direct("a2_skip_invalid_rows",
     """SELECT adsh, tag, TRY_CAST(value AS decimal(28,4)) AS value FROM num
     WHERE value IS NULL OR TRY_CAST(value AS decimal(28,4)) IS NOT NULL""")
 add_direct("a5_staged_manifest",
-    lambda spark, d: staged_manifest(spark, _write_raw(spark, d)).select(
-        "period_folder", (F.col("bytes") > 0).alias("filled"), F.col("archive").isNull().alias("no_archive")),
-    "SELECT '2022q4' period_folder, true filled, true no_archive")
+    _manifest_of_periods,
+    """SELECT period_folder, true filled, true no_archive FROM (
+      SELECT DISTINCT year(startDate) || 'q' || quarter(startDate) period_folder FROM meta)""")
 add_direct("a7_read_documents",
     lambda spark, d: P.document_tables(read_documents(spark, _write_documents(spark, d)))[1],
     "SELECT * FROM fdata")
@@ -163,6 +170,13 @@ add_direct("i1_ingest_documents", _ingested,
     """SELECT year(h.startDate) || 'q' || quarter(h.startDate) period_folder, d.symbol, data_type, concept,
     info, unit, CAST(value AS double) AS value FROM doc_fact d JOIN status h ON h.adsh = d.adsh
     WHERE data_type IN ('bs', 'cf')""")
+add_direct("m11_raw_form",
+    lambda spark, d: D.table_counts({
+        k: v for k, v in load_form(spark, "RAW", _write_raw(spark, d)).items() if k in RAW_COLUMNS}),
+    " UNION ALL ".join(f"SELECT '{k}' AS \"table\", count(*) row_count FROM {k}" for k in RAW_COLUMNS))
+add_direct("m11_json_form",
+    lambda spark, d: load_form(spark, "JSON", _write_documents(spark, d))["financial_data"].drop("id"),
+    "SELECT * FROM fdata")
 add_direct("m11_storage_forms",
     lambda spark, d: rounded(
         load_form(spark, "NORMALIZED", _write_raw(spark, d))["company_metrics"], RATIO_COLUMNS),
@@ -241,7 +255,7 @@ add("b15_safe_ratio",
 
 def _variant_fields(t) -> DataFrame:
     docs = P.filing_documents(t).select(
-        F.parse_json(F.to_json(F.struct(*DOC_HEADER, "part", "data"))).alias("doc"))
+        F.parse_json(F.to_json(F.struct(*DOC_HEADER, "data"))).alias("doc"))
     return docs.select(
         B.doc_field(F.col("doc"), "symbol", "string").alias("symbol"),
         B.doc_field(F.col("doc"), "startDate", "date").alias("start_date"),
@@ -385,7 +399,7 @@ add("f3_mixed_order",
 add("f4_full_order", lambda t: t["sub"].select("adsh", "cik", "filed").orderBy(F.col("filed").desc(), "adsh"),
     "SELECT adsh, cik, filed FROM sub ORDER BY filed DESC, adsh")
 add("g1_union_statements",
-    lambda t: D.union_all(S.stg_balance_sheet(t), S.stg_income_statement(t), S.stg_cash_flow(t)),
+    S.staging,
     """SELECT * FROM stg_balance_sheet UNION ALL SELECT * FROM stg_income_statement
     UNION ALL SELECT * FROM stg_cash_flow""")
 add("g2_union_checks",
@@ -523,6 +537,9 @@ add("m2_stg_income_statement", S.stg_income_statement, "SELECT * FROM stg_income
 add("m3_stg_cash_flow", S.stg_cash_flow, "SELECT * FROM stg_cash_flow")
 add("m4_fct_financial_statements", S.fct_financial_statements, "SELECT * FROM fct")
 _METRICS_SQL = "SELECT * REPLACE (" + ", ".join(f"round({r}, 6) AS {r}" for r in RATIO_COLUMNS) + ") FROM metrics"
+add("m4_facts_from_staging",
+    lambda t: S.facts_from_staging(S.staging(t), t["sub"].filter("cast(cik AS bigint) % 3 <> 0")),
+    "SELECT * FROM fct WHERE CAST(company_symbol AS bigint) % 3 <> 0")
 add("m5_company_metrics", lambda t: rounded(S.company_metrics(t), RATIO_COLUMNS), _METRICS_SQL)
 add("m5_company_metrics_from_facts",
     lambda t: rounded(S.company_metrics_from_facts(S.fct_financial_statements(t)), RATIO_COLUMNS), _METRICS_SQL)
@@ -571,6 +588,13 @@ add("n7_cash_flow_metrics", N.cash_flow_metrics,
     f"""SELECT m.symbol, m.name, f.concept, f.value, m.year, m.quarter, count(*) row_count
     FROM meta m JOIN fdata f ON m.symbol = f.symbol
     WHERE f.data_type = 'cf' AND f.concept IN {O.text_list(S.STATEMENT_TAGS['cash_flow'])} GROUP BY ALL""")
+add("n6_balance_sheet_analysis_rows", lambda t: N.balance_sheet_analysis(t, expand=True),
+    """SELECT m.symbol, m.name, f.concept, f.value FROM meta m JOIN fdata f ON m.symbol = f.symbol
+    WHERE f.data_type = 'bs' AND f.concept IN ('Assets', 'Liabilities', 'StockholdersEquity')""")
+add("n7_cash_flow_metrics_rows", lambda t: N.cash_flow_metrics(t, expand=True),
+    f"""SELECT m.symbol, m.name, f.concept, f.value, m.year, m.quarter
+    FROM meta m JOIN fdata f ON m.symbol = f.symbol
+    WHERE f.data_type = 'cf' AND f.concept IN {O.text_list(S.STATEMENT_TAGS['cash_flow'])}""")
 add("n8_company_health", N.company_health,
     """SELECT m.symbol, m.name,
     sum(CASE WHEN f.data_type = 'bs' AND f.concept = 'Assets' THEN f.value ELSE 0 END) total_assets,

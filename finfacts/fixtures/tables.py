@@ -62,15 +62,17 @@ SELECT {ADSH.format('l_orderkey')} adsh, t.tag, 'us-gaap/2022' version,
 FROM {{lineitem}} JOIN {{tagdim}} t ON t.tid = l_partkey % 18
 """
 
+# Labels and texts of the listed tags come from the parts that share their number; every
+# part is a company's own tag besides, so the dictionary grows with the given table.
 TAG = """
-SELECT tag, 'us-gaap/2022' version, IF(tag LIKE 'Custom%', '1', '0') custom,
+SELECT tag, concat('us-gaap/', v) version, IF(tag LIKE 'Custom%', '1', '0') custom,
   '0' abstract, 'monetary' datatype, IF(stmt = 'BS', 'I', 'D') iord,
-  concat(tag, ' label') tlabel, concat('Doc of ', tag) doc
-FROM {tagdim} WHERE tag <> 'UnlistedTag'
+  concat(tag, ' ', IF(v = '2022', lower(kind), 'v2')) tlabel, concat('Doc of ', name, ' ', v) doc
+FROM (SELECT *, explode(IF(tid % 5 = 0, array('2022', '2023'), array('2022'))) v
+  FROM {tagdim} WHERE tag <> 'UnlistedTag')
+JOIN (SELECT p_partkey % 18 part, min(p_type) kind, min(p_name) name FROM {part} GROUP BY 1) ON part = tid
 UNION ALL
-SELECT tag, 'us-gaap/2023', IF(tag LIKE 'Custom%', '1', '0'), '0', 'monetary',
-  IF(stmt = 'BS', 'I', 'D'), concat(tag, ' label v2'), concat('Doc v2 of ', tag)
-FROM {tagdim} WHERE tid % 5 = 0 AND tag <> 'UnlistedTag'
+SELECT concat('Own', p_partkey), p_brand, '1', '0', 'monetary', 'D', p_type, p_name FROM {part}
 """
 
 PRE = f"""
@@ -110,7 +112,7 @@ def _complete(df: DataFrame, table: str) -> DataFrame:
 
 def filing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lazy ``sub, num, tag, pre, sym`` over the test tables in ``sf_dir``."""
-    source = {n: given_table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "lineitem")}
+    source = {n: given_table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "lineitem", "part")}
     entries = ", ".join(
         f"({i}, '{tag}', '{stmt}')" for i, (tag, stmt) in enumerate(TAG_DIMENSION)
     )
@@ -120,7 +122,7 @@ def filing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             SUB, orders=source["orders"], customer=source["customer"], nation=source["nation"]
         ), "sub"),
         "num": _complete(spark.sql(NUM, lineitem=source["lineitem"], tagdim=tagdim), "num"),
-        "tag": _complete(spark.sql(TAG, tagdim=tagdim), "tag"),
+        "tag": _complete(spark.sql(TAG, tagdim=tagdim, part=source["part"]), "tag"),
         "pre": _complete(spark.sql(PRE, lineitem=source["lineitem"], tagdim=tagdim), "pre"),
         "sym": spark.sql(SYM, customer=source["customer"]),
     }

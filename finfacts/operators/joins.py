@@ -131,11 +131,16 @@ def counted_join(
 def expand_counted(df: DataFrame, name: str = "row_count") -> DataFrame:
     """Repeat each row ``name`` times: the plain form of a counted result.
 
-    Works row by row after all shuffles and keeps the row order.
+    Works row by row after all shuffles and keeps the row order. Numbers are made in
+    two steps of their square root, so no row holds an array of all its repeats.
     """
     columns = [c for c in df.columns if c != name]
-    repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(name))).alias("_n")
-    return df.select(*columns, repeats).drop("_n")
+    one, n = F.lit(1).cast("bigint"), F.col(name)
+    side = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
+    outer = df.filter(n > 0).withColumn("_side", side).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / F.col("_side")))))
+    inner = F.least(F.col("_side"), n - F.col("_block") * F.col("_side"))
+    return outer.select(*columns, F.explode(F.sequence(one, inner)).alias("_n")).drop("_n")
 
 
 def join_doc_tables(

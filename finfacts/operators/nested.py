@@ -8,57 +8,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS, LOADED_PARTS
 
-# A document carries at most about this many facts; a larger filing continues
-# in further documents with the same header and a rising ``part`` number.
-FACTS_PER_DOCUMENT = 50_000
-
 FACT = ("label", "concept", "info", "unit", "value")
 
 
-def with_part_count(
-    headers: DataFrame, sizes: DataFrame, limit: int = FACTS_PER_DOCUMENT
-) -> DataFrame:
-    """Headers with the number of ``parts`` of each filing.
+def assemble_documents(headers: DataFrame, facts: DataFrame) -> DataFrame:
+    """One document for every filing in ``headers`` (key ``adsh``), whatever its size.
 
-    ``sizes`` bounds the facts of a filing from above (``adsh, facts``).
+    ``facts`` holds distinct ``adsh, stmt, label, concept, info, unit, value`` rows and how
+    many ``copies`` of each exist. A filing without facts has empty arrays.
     """
-    large = sizes.filter(F.col("facts") > limit)
-    parts = F.coalesce(F.ceil(F.col("facts") / F.lit(limit)), F.lit(1)).cast("int")
-    return headers.join(large, "adsh", "left").withColumn("parts", parts).drop("facts")
-
-
-def assemble_documents(
-    headers: DataFrame, facts: DataFrame, limit: int = FACTS_PER_DOCUMENT
-) -> DataFrame:
-    """Documents of every filing in ``headers`` (key ``adsh``, with its ``parts``).
-
-    ``facts`` holds distinct ``adsh, stmt, label, concept, info, unit, value``
-    rows, how many ``copies`` of each exist and the ``parts`` of their filing. The
-    facts of a large filing are spread over its parts, copies included, so no
-    array grows with the data. Every fact is kept and every filing has a part 0,
-    if only with empty arrays.
-    """
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / limit))
-    chunk_copies = F.least(F.lit(limit), F.col("copies") - F.col("_chunk") * limit)
-    placed = (
-        facts.withColumn("_chunk", F.explode(chunks))
-        .withColumn("_copies", chunk_copies.cast("int"))
-        .withColumn("part", F.pmod(
-            F.xxhash64("stmt", *FACT, "_chunk"), F.col("parts").cast("bigint")
-        ).cast("int"))
-    )
-    item = F.struct("stmt", *FACT, "_copies")
-    arrays = placed.groupBy("adsh", "part").agg(
+    item = F.struct("stmt", *FACT, F.col("copies").cast("int").alias("_copies"))
+    arrays = facts.groupBy("adsh").agg(
         F.sort_array(F.collect_list(item)).alias("_facts")
-    ).select("adsh", "part", *[_write_out("_facts", p).alias(p) for p in DOCUMENT_PARTS])
-    numbered = headers.withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    filled = numbered.join(arrays, ["adsh", "part"], "left")
+    ).select("adsh", *[_write_out("_facts", p).alias(p) for p in DOCUMENT_PARTS])
     data = F.struct(*[F.coalesce(F.col(p), F.array()).alias(p) for p in DOCUMENT_PARTS])
-    return filled.select(
-        *[c for c in headers.columns if c not in (*DOC_HEADER, "parts")], *DOC_HEADER, "part",
-        data.alias("data"),
+    return headers.join(arrays, "adsh", "left").select(
+        *[c for c in headers.columns if c not in DOC_HEADER], *DOC_HEADER, data.alias("data"),
     )
 
 
@@ -72,7 +37,7 @@ def _write_out(column: str, part: str) -> Column:
 
 def flatten_documents(docs: DataFrame, parts: Sequence[str] = LOADED_PARTS) -> DataFrame:
     """One row per fact of the chosen arrays, tagged by ``data_type``; empty arrays give no row."""
-    keep = [c for c in docs.columns if c not in DOC_HEADER and c not in ("data", "part")]
+    keep = [c for c in docs.columns if c not in DOC_HEADER and c != "data"]
     tagged = F.array(*[
         F.struct(F.lit(p).alias("data_type"), F.col(f"data.{p}").alias("facts")) for p in parts
     ])
@@ -83,7 +48,6 @@ def flatten_documents(docs: DataFrame, parts: Sequence[str] = LOADED_PARTS) -> D
 
 
 def document_metadata(docs: DataFrame) -> DataFrame:
-    """Header columns of each filing, read from its first document part."""
-    keep = [c for c in docs.columns if c not in DOC_HEADER and c not in ("data", "part")]
-    first = docs.filter(F.coalesce(F.col("part"), F.lit(0)) == 0)
-    return first.select(*keep, *DOC_HEADER)
+    """Header columns of each document."""
+    keep = [c for c in docs.columns if c not in DOC_HEADER and c != "data"]
+    return docs.select(*keep, *DOC_HEADER)

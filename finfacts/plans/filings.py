@@ -16,10 +16,7 @@ from finfacts.functions import (
 from finfacts.operators.joins import (
     first_by, lookup_presentation, lookup_symbol, lookup_tag_doc,
 )
-from finfacts.operators.nested import (
-    FACTS_PER_DOCUMENT, assemble_documents, document_metadata, flatten_documents,
-    with_part_count,
-)
+from finfacts.operators.nested import assemble_documents, document_metadata, flatten_documents
 from finfacts.plans.statements import Tables
 from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS, LOADED_PARTS, PERIOD_MONTHS
 
@@ -102,8 +99,7 @@ def document_facts(
 ) -> DataFrame:
     """Distinct facts of the filings in ``headers`` with the number of ``copies`` of each.
 
-    Columns of ``headers`` such as the number of parts are passed on. Tag texts and captions are attached to the presentation rows, one per filing
-    and tag; equal values are counted before the first shuffle of ``num``.
+    Tag texts and captions are attached to the presentation rows, one per filing and tag; equal values are counted before the first shuffle of ``num``.
     """
     docs = lookup_tag_doc(tables["tag"]).select(
         "tag", clean_text(F.col("doc")).alias("label")
@@ -123,21 +119,16 @@ def document_facts(
 
 def filing_documents(
     tables: Tables, parts: Sequence[str] = DOCUMENT_PARTS, exact: bool = False,
-    limit: int = FACTS_PER_DOCUMENT,
 ) -> DataFrame:
-    """One nested document per accepted filing; a very large filing has several parts."""
+    """One nested document per accepted filing."""
     if not set(parts) <= set(DOCUMENT_PARTS):
         raise ValueError(f"document parts are {DOCUMENT_PARTS}, not {tuple(parts)}")
     headers = filing_headers(tables["sub"], tables["sym"])
     if "period_folder" in tables["sub"].columns:
         folders = first_by(tables["sub"], ["adsh"], [], ["period_folder"])
         headers = headers.join(folders, "adsh")
-    sizes = tables["num"].filter(F.col("value").isNotNull()).groupBy("adsh").agg(
-        F.count("*").alias("facts")
-    )
-    counted = with_part_count(headers, sizes, limit)
-    facts = document_facts(tables, counted.select("adsh", "parts"), parts, exact)
-    return assemble_documents(counted, facts, limit)
+    facts = document_facts(tables, headers.select("adsh"), parts, exact)
+    return assemble_documents(headers, facts)
 
 
 def metadata_table(

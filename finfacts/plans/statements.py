@@ -13,7 +13,7 @@ from finfacts.functions import (
     is_fiscal_period, norm_fiscal_period, norm_unit, safe_date, safe_decimal, statement_source,
 )
 from finfacts.operators.aggregates import max_where, pivot_metrics, with_ratios
-from finfacts.operators.joins import join_dimension, join_filing
+from finfacts.operators.joins import join_filing, valid_companies
 from finfacts.schema import (
     FISCAL_PERIODS, METRIC_COLUMNS, SOURCE_LABELS, STATEMENT_TAGS,
 )
@@ -44,11 +44,7 @@ def filter_statement(num: DataFrame, statements: Sequence[str]) -> DataFrame:
 
 
 def _numbers(num: DataFrame, tags: Sequence[str]) -> DataFrame:
-    """Parsed values of the given tags; both filters sit next to the scan.
-
-    A text that is no number stays as NULL: filtering it here would parse each
-    value twice.
-    """
+    """Parsed values of the given tags; both filters sit next to the scan, a text that is no number is NULL."""
     return num.filter(F.col("tag").isin(*tags) & F.col("value").isNotNull()).select(
         "adsh", F.col("tag").alias("metric_code"),
         norm_unit(F.col("uom")).alias("measurement_unit"),
@@ -89,7 +85,7 @@ def _staged(tables: Tables, statements: Sequence[str], complete_only: bool) -> D
         F.col("tag").alias("metric_code"), F.col("tlabel").alias("metric_name"),
         F.col("datatype").alias("metric_info"),
     ).distinct()
-    rows = join_dimension(base, labels, "metric_code")
+    rows = base.join(labels, "metric_code")
     return rows.withColumn("source_file", statement_source(F.col("metric_code"))).select(
         *STAGING_COLUMNS
     )
@@ -120,9 +116,9 @@ def _dated(staged: DataFrame) -> DataFrame:
     return staged.withColumn("filing_date", safe_date(F.col("filing_date"))).select(*FACT_COLUMNS)
 
 
-def facts_from_staging(staged: DataFrame) -> DataFrame:
-    """Guard stored staging rows and parse their filing date."""
-    return _dated(staged.filter(
+def facts_from_staging(staged: DataFrame, sub: DataFrame) -> DataFrame:
+    """Guard stored staging rows, keep the companies of ``sub`` and parse the filing date."""
+    return _dated(valid_companies(staged, sub).filter(
         F.col("company_symbol").isNotNull() & F.col("metric_value").isNotNull()
         & safe_date(F.col("filing_date")).isNotNull() & F.col("fiscal_year").isNotNull()
         & F.col("fiscal_period").isin(*FISCAL_PERIODS)

@@ -167,14 +167,13 @@ DOC_HEADER = (
 def document_schema(exact: bool = False) -> str:
     """Schema of one filing document; ``exact`` keeps decimal values.
 
-    ``part`` numbers the documents of a very large filing; it may be absent.
     """
     value = "decimal(28,4)" if exact else "bigint"
     fact = f"struct<label:string,concept:string,info:string,unit:string,value:{value}>"
     parts = ", ".join(f"{p}: array<{fact}>" for p in DOCUMENT_PARTS)
     return (
         "startDate date, endDate date, year int, quarter string, symbol string, "
-        f"name string, country string, city string, part int, data struct<{parts}>"
+        f"name string, country string, city string, data struct<{parts}>"
     )
 
 

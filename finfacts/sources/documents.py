@@ -34,7 +34,7 @@ def parse_documents(texts: DataFrame, on_error: str = "skip", exact: bool = Fals
     valid = F.col("_object") & F.col("d").isNotNull() & F.col("d._bad").isNull()
     kept = require(docs, valid, on_error, "a document does not fit the declared schema")
     return kept.select(
-        "period_folder", *[F.col(f"d.{c}").alias(c) for c in (*DOC_HEADER, "part", "data")]
+        "period_folder", *[F.col(f"d.{c}").alias(c) for c in (*DOC_HEADER, "data")]
     )
 
 
@@ -59,7 +59,7 @@ def write_documents(docs: DataFrame, dst: str, period: str | None = None) -> Non
     if period is not None:
         docs = docs.withColumn("period_folder", F.lit(period))
     (
-        docs.select("period_folder", *DOC_HEADER, "part", "data")
+        docs.select("period_folder", *DOC_HEADER, "data")
         .hint("rebalance", "period_folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False).partitionBy("period_folder").json(dst)
     )

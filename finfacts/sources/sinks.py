@@ -47,7 +47,13 @@ def save_bucketed(
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names; a local one where none is named."""
+    """A new folder in the shared place the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting: its folder is then a temporary one.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="finfacts-")
-    return f"{base.rstrip('/')}/finfacts-{uuid.uuid4().hex}"
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="finfacts-")
+    return f"{shared.rstrip('/')}/finfacts-{uuid.uuid4().hex}"

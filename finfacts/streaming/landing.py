@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finfacts.operators.nested import document_metadata, flatten_documents
@@ -30,6 +31,13 @@ def document_stream(
 def _land(batch: DataFrame, batch_id: int, dst: str, parts: Sequence[str]) -> None:
     """Write the tables of one batch; a repeated batch replaces its own rows only."""
     batch.persist()
+    try:
+        _write_tables(batch, batch_id, dst, parts)
+    finally:
+        batch.unpersist()
+
+
+def _write_tables(batch: DataFrame, batch_id: int, dst: str, parts: Sequence[str]) -> None:
     tables = {
         "financial_metadata": metadata_table(document_metadata(batch), keep=["period_folder"]),
         "financial_data": data_table(flatten_documents(batch, parts), keep=["period_folder"]),
@@ -40,7 +48,18 @@ def _land(batch: DataFrame, batch_id: int, dst: str, parts: Sequence[str]) -> No
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("period_folder", "ingest_batch").parquet(f"{dst}/{name}")
         )
-    batch.unpersist()
+
+
+def _claim(spark: SparkSession, dst: str, checkpoint: str) -> None:
+    """Note the checkpoint that fills ``dst``; batch numbers of another one would mix with its own."""
+    mark = f"{dst}/landed_by"
+    try:
+        owner = spark.read.text(mark).first()["value"]
+    except AnalysisException:
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(mark)
+        return
+    if owner != checkpoint:
+        raise ValueError(f"{dst} is filled by the checkpoint {owner}; use it or another target")
 
 
 def ingest_documents(
@@ -51,8 +70,10 @@ def ingest_documents(
     """Load the documents that arrived since the last run into the two document tables.
 
     The checkpoint remembers the files already loaded, so each is loaded once. It
-    and ``dst`` belong into storage that all executors share.
+    and ``dst`` belong into storage that all executors share. A ``dst`` that another
+    checkpoint fills is an error, as its rows would be loaded again.
     """
+    _claim(spark, dst, checkpoint)
     query = (
         document_stream(spark, src, form, files_per_batch).writeStream
         .option("checkpointLocation", checkpoint).trigger(availableNow=True)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import frame, rows
 from finfacts.operators.nested import (
-    assemble_documents, document_metadata, flatten_documents, with_part_count,
+    assemble_documents, document_metadata, flatten_documents,
 )
 from finfacts.plans import filings as P
 from finfacts.schema import DOCUMENT_PARTS
@@ -51,31 +51,20 @@ def test_unknown_part_is_an_error(tiny):
         P.filing_documents(tiny, parts=("is",))
 
 
-def test_large_filings_are_split_and_kept_whole(spark):
+def test_a_filing_is_one_document(spark):
     headers = spark.sql("""SELECT k AS adsh, date'2020-01-01' startDate, date'2020-12-31' endDate,
         2020 year, 'FY' quarter, k symbol, k name, 'US' country, 'X' city
         FROM VALUES ('big'), ('copies'), ('small'), ('none') t(k)""")
-    varied = spark.range(1000).select(
+    varied = spark.range(60_000).select(
         F.lit("big").alias("adsh"), F.lit("bs").alias("stmt"), F.lit("l").alias("label"),
         F.lit("c").alias("concept"), F.lit("i").alias("info"), F.lit("u").alias("unit"),
         F.col("id").alias("value"), F.lit(1).cast("long").alias("copies"))
     same = varied.limit(1).withColumns({"adsh": F.lit("copies"), "copies": F.lit(777).cast("long")})
     small = varied.limit(1).withColumn("adsh", F.lit("small"))
-    facts = varied.union(same).union(small)
-    sizes = facts.groupBy("adsh").agg(F.sum("copies").alias("facts"))
-    counted = with_part_count(headers, sizes, limit=100)
-    facts = facts.join(counted.select("adsh", "parts"), "adsh")
-    docs = assemble_documents(counted, facts, limit=100)
-    sizes = docs.groupBy("adsh").agg(
-        F.sum(F.size("data.bs")).alias("facts"), F.max(F.size("data.bs")).alias("widest"),
-        F.count("*").alias("parts"), F.countDistinct("part").alias("numbers"))
-    got = {r["adsh"]: r for r in sizes.collect()}
-    assert {k: r["facts"] for k, r in got.items()} == {"big": 1000, "copies": 777, "small": 1, "none": 0}
-    assert got["big"]["parts"] == 10 and got["big"]["numbers"] == 10 and got["big"]["widest"] < 200
-    assert got["copies"]["parts"] == 8 and got["copies"]["widest"] <= 400
-    assert got["small"]["parts"] == got["none"]["parts"] == 1
-    flat = flatten_documents(docs)
-    assert rows(flat.filter("adsh = 'big'").select("value")) == rows(varied.select("value"))
+    docs = assemble_documents(headers, varied.union(same).union(small))
+    got = rows(docs.select("adsh", F.size("data.bs")))
+    assert got == [("big", 60_000), ("copies", 777), ("none", 0), ("small", 1)]
+    assert flatten_documents(docs).filter("adsh = 'big'").select("value").distinct().count() == 60_000
     assert document_metadata(docs).count() == 4
 
 

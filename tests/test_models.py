@@ -37,7 +37,7 @@ def test_fact_table_guards(tiny):
     assert rows(facts.filter("metric_code = 'Inventory'").select(
         "fiscal_period", "filing_date", "measurement_unit")) == [("Q2", date(2020, 4, 1), "percent")]
     assert "dbt_loaded_at" in S.fct_financial_statements(tiny, load_time=True).columns
-    assert rows(S.facts_from_staging(S.staging(tiny))) == rows(facts)
+    assert rows(S.facts_from_staging(S.staging(tiny), tiny["sub"])) == rows(facts)
 
 
 def test_fact_rows_pass_the_mart_checks(tiny):
@@ -97,3 +97,16 @@ def test_metrics_scan_the_values_once_and_push_the_filters(spark, tiny, tmp_path
     num = next(line for line in scans if "/num" in line)
     assert "In(tag" in num and "IsNotNull(value)" in num
     assert "ReadSchema: struct<adsh:string,tag:string,value:string>" in num
+
+
+def test_stored_staging_keeps_only_known_companies(tiny):
+    known = tiny["sub"].filter("cik <> 'c1'")
+    assert S.facts_from_staging(S.staging(tiny), known).isEmpty()
+
+
+def test_building_a_plan_starts_no_job(spark, tiny):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    S.staging(tiny)
+    S.company_metrics(tiny)
+    assert len(tracker.getJobIdsForGroup(None)) == before

@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import frame, rows
 from finfacts.plans import filings as P
 from finfacts.sources.documents import write_documents
@@ -11,7 +13,7 @@ def landed(spark, dst):
 
 def test_each_document_is_loaded_once(spark, tiny, tmp_path):
     src, dst, seen = (str(tmp_path / n) for n in ("src", "dst", "checkpoint"))
-    docs = P.filing_documents(tiny, limit=2)
+    docs = P.filing_documents(tiny)
     expected = rows(P.financial_data(tiny))
     write_documents(docs, src, "2020q1")
     ingest_documents(spark, src, dst, seen)
@@ -36,6 +38,16 @@ def test_late_files_of_a_period_are_added(spark, tiny, tmp_path):
     assert landed(spark, dst).count() == 2 * before
 
 
+def test_another_checkpoint_on_the_same_target_is_an_error(spark, tiny, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    write_documents(P.filing_documents(tiny), src, "2020q1")
+    ingest_documents(spark, src, dst, str(tmp_path / "one"))
+    before = rows(landed(spark, dst))
+    with pytest.raises(ValueError, match="filled by the checkpoint"):
+        ingest_documents(spark, src, dst, str(tmp_path / "two"))
+    assert rows(landed(spark, dst)) == before
+
+
 def test_one_file_per_document(spark, tmp_path):
     folder = tmp_path / "src" / "2020q1"
     folder.mkdir(parents=True)
