@@ -50,10 +50,10 @@ def main() -> None:
     root = scratch_folder(spark)
     source = filing_tables(spark, sf_dir)
     begin = time.perf_counter()
-    store_tables(source, root, files=int(cpus))
+    store_tables(source, root)
     stored = round(time.perf_counter() - begin, 3)
     tables = stored_tables(spark, root, list(source))
-    cold, warm = {"store_raw_tables": stored}, {"store_raw_tables": stored}
+    cold, warm = {}, {"store_raw_tables": stored}
     for name in names:
         for times in (cold, warm):
             begin = time.perf_counter()

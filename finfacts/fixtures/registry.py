@@ -179,7 +179,7 @@ add_direct("m11_json_form",
     "SELECT * FROM fdata")
 add_direct("m11_storage_forms",
     lambda spark, d: rounded(
-        load_form(spark, "NORMALIZED", _write_raw(spark, d))["company_metrics"], RATIO_COLUMNS),
+        load_form(spark, "NORMALIZED", _write_raw(spark, d), store=scratch_folder(spark))["company_metrics"], RATIO_COLUMNS),
     "SELECT * REPLACE (" + ", ".join(f"round({r}, 6) AS {r}" for r in RATIO_COLUMNS) + ") FROM metrics")
 
 # ---- B: scalars and predicates ----------------------------------------------

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finfacts.plans import filings, statements
 from finfacts.sources.archives import unpack_archives
 from finfacts.sources.documents import read_documents
 from finfacts.sources.manifest import is_staged, staged_manifest
+from finfacts.schema import SOURCE_LABELS
 from finfacts.sources.raw import read_tables
+from finfacts.sources.sinks import save_model
 
 FORMS = ("RAW", "JSON", "NORMALIZED")
 
@@ -39,8 +41,9 @@ def stage_period(spark: SparkSession, archives: str, staged: str, period: str) -
 def load_form(
     spark: SparkSession, form: str, root: str, periods: list[str] | None = None,
     on_error: str = "abort", unpacked: bool = False, documents: str = "lines",
+    store: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Lazy tables of a storage form."""
+    """Tables of a storage form; lazy ones unless the normalized form gets a ``store``."""
     form = form.upper()
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
@@ -51,7 +54,28 @@ def load_form(
     tables = read_tables(spark, root, periods, on_error, unpacked)
     if form == "RAW":
         return tables
-    return {**tables, **normalized(tables)}
+    return {**tables, **(normalized(tables) if store is None else store_normalized(tables, store))}
+
+
+def store_normalized(tables: statements.Tables, store: str) -> dict[str, DataFrame]:
+    """The normalized form in the order of its dependencies: one pass over the reported values.
+
+    Staging is stored under ``store``; the statement tables are its partitions, the facts
+    derive from it and are stored too, and the metrics derive from the facts.
+    """
+    spark = tables["sub"].sparkSession
+    save_model(statements.staging(tables), f"{store}/staging", partition_by=["source_file"], mode="replace")
+    staged = spark.read.parquet(f"{store}/staging").select(*statements.STAGING_COLUMNS)
+    save_model(statements.facts_from_staging(staged, tables["sub"]), f"{store}/facts", mode="replace")
+    facts = spark.read.parquet(f"{store}/facts")
+    parts = {s: staged.filter(F.col("source_file") == label) for s, label in SOURCE_LABELS.items()}
+    return {
+        **{f"stg_{s}": part for s, part in parts.items()},
+        **{s: statements.analyst_rows(part, loaded=True) for s, part in parts.items()},
+        "fct_financial_statements": facts.withColumn("dbt_loaded_at", F.current_timestamp()),
+        "company_metrics": statements.company_metrics_from_facts(facts),
+        "fact_financials": statements.fact_financials_from_staging(staged, loaded=True),
+    }
 
 
 def normalized(tables: statements.Tables) -> dict[str, DataFrame]:

@@ -180,7 +180,11 @@ STATEMENT_KEY = (
 
 def statement_table(tables: Tables, statement: str, loaded: bool = False) -> DataFrame:
     """Statement rows under their analyst names; ``loaded`` adds the id and the load time."""
-    staged = staging(tables, statement)
+    return analyst_rows(staging(tables, statement), loaded)
+
+
+def analyst_rows(staged: DataFrame, loaded: bool = False) -> DataFrame:
+    """Staging rows, stored ones too, under their analyst names."""
     table = staged.select(
         F.col("company_symbol").alias("symbol"), F.col("metric_name").alias("label"),
         F.col("metric_code").alias("concept"), F.col("metric_info").alias("info"),
@@ -221,6 +225,19 @@ def fact_financials(tables: Tables, loaded: bool = False) -> DataFrame:
     grouped = join_filing(_per_filing(tables, columns), keyed).groupBy(*METRIC_KEYS).agg(
         *[F.max(name).alias(name) for name in columns]
     )
+    return _side_by_side(grouped, columns, loaded)
+
+
+def fact_financials_from_staging(staged: DataFrame, loaded: bool = False) -> DataFrame:
+    """The same table out of stored staging rows."""
+    columns = {f"_{i}": tag for i, tag in enumerate(statement_tags(tuple(STATEMENT_TAGS)))}
+    grouped = staged.dropna(subset=list(METRIC_KEYS)).groupBy(*METRIC_KEYS).agg(*[
+        max_where("metric_code", tag, "metric_value").alias(name) for name, tag in columns.items()
+    ])
+    return _side_by_side(grouped, columns, loaded)
+
+
+def _side_by_side(grouped: DataFrame, columns: Mapping[str, str], loaded: bool) -> DataFrame:
     names = {tag: name for name, tag in columns.items()}
 
     def side(statement: str) -> Column:

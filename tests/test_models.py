@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import frame, rows
 from finfacts.operators import quality as Q
-from finfacts.plans import statements as S
+from finfacts.plans import forms, statements as S
 from finfacts.schema import FISCAL_PERIODS, RATIO_COLUMNS
 
 
@@ -110,3 +110,11 @@ def test_building_a_plan_starts_no_job(spark, tiny):
     S.staging(tiny)
     S.company_metrics(tiny)
     assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_stored_form_equals_the_lazy_one(spark, tiny, tmp_path):
+    lazy, stored = forms.normalized(tiny), forms.store_normalized(tiny, str(tmp_path))
+    assert set(lazy) == set(stored)
+    for name, table in lazy.items():
+        columns = [c for c in table.columns if c not in ("loaded_at", "dbt_loaded_at")]
+        assert rows(stored[name].select(*columns)) == rows(table.select(*columns)), name
