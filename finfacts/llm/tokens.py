@@ -160,6 +160,9 @@ class Encoder(WordEncoder):
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.words, self.lead = words, 0 if words else 1
+        # Lower-cased words have fewer parts, and their workers serve further stages.
+        self.most = PIECES // 4 if words else PIECES
+        self.known = 200_000 if words else KNOWN
         self.pieces: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {b"": b""}
 
@@ -175,7 +178,7 @@ class Encoder(WordEncoder):
         got = self.pieces.get(piece)
         if got is None:
             got = self._model(piece)
-            if len(self.pieces) >= PIECES:
+            if len(self.pieces) >= self.most:
                 self.pieces.clear()
             self.pieces[piece] = got
         return got
