@@ -136,8 +136,8 @@ def _suspects(shared, min_chars: int, bits: int) -> Mapper:
                 place += len(own)
                 found.append([_digest(own[i]) for i in np.flatnonzero(flags)])
             out = pa.RecordBatch.from_arrays(
-                [b.column("k1"), b.column("k2"), pa.array(found, pa.list_(pa.binary()))],
-                names=["k1", "k2", "digests"],
+                [b.column("k1"), b.column("k2"), b.column("id"), pa.array(found, pa.list_(pa.binary()))],
+                names=["k1", "k2", "id", "digests"],
             )
             yield out.filter(pa.array([bool(x) for x in found], pa.bool_()))
     return run
@@ -206,29 +206,25 @@ def dedup_lines(
                         F.col(f"`{id_column}`").alias("id"))
     merged = repeated_line_filter(keyed, min_chars, bits)
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, merged))
-    suspects = stored(keyed.select("text", "k1", "k2").mapInArrow(
-        _suspects(shared, min_chars, bits), "k1 long, k2 long, digests array<binary>"
+    suspects = stored(keyed.mapInArrow(
+        _suspects(shared, min_chars, bits), shape(keyed, ["k1", "k2", "id"], "digests array<binary>")
     ))
     each = suspects.select("k1", "k2", F.explode("digests").alias("digest"))
     counts = each.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs)
-    own = suspects.groupBy("k1", "k2").agg(F.first("digests").alias("digests")) \
-        .select("k1", "k2", F.explode("digests").alias("digest"))
+    own = suspects.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("digests").alias("digests")) \
+        .select("k1", "k2", "id", F.explode("digests").alias("digest"))
     # A line that a third of the documents hold meets its count in many tasks.
     salt = F.pmod("k1", F.lit(SALTS)).cast("int")
     spread = counts.select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     hits = own.withColumn("salt", salt).join(spread, ["digest", "salt"]).drop("salt")
+    lists = hits.groupBy("k1", "k2").agg(F.collect_list("digest").alias("drop"))
     if keep_first:
-        ids = keyed.select("k1", "k2", "id").distinct()
-        hits = hits.join(ids, ["k1", "k2"])
-        order = F.struct("id", "k1", "k2")
-        firsts = hits.groupBy("digest").agg(F.min(order).alias("lead"))
-        hits = hits.join(firsts, "digest").withColumn("leads", F.col("lead") == order)
+        # The first row of a line takes the line along; the others need not meet it again.
+        firsts = hits.groupBy("digest").agg(F.min(F.struct("id", "k1", "k2")).alias("lead"))
+        led = firsts.groupBy("lead.k1", "lead.k2").agg(F.collect_list("digest").alias("first"))
+        lists = lists.join(led, ["k1", "k2"], "left")
     else:
-        hits = hits.withColumn("leads", F.lit(False))
-    lists = hits.groupBy("k1", "k2").agg(
-        F.collect_list("digest").alias("drop"),
-        F.collect_list(F.when(F.col("leads"), F.col("digest"))).alias("first"),
-    )
+        lists = lists.withColumn("first", F.lit(None).cast("array<binary>"))
     joined = nested(docs, k1, k2).join(lists, ["k1", "k2"], "left").select(
         "row", F.col("row").getField("text").cast("binary").alias("text"), "drop", "first"
     )

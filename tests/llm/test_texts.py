@@ -46,6 +46,25 @@ def test_first_line_stays(spark):
     assert got == {1: "X \na", 2: "b", 3: ""}
 
 
+def test_first_lines_equal_a_plain_version(spark):
+    """The smallest id keeps a repeated line, once; of many copies of a text one stays whole."""
+    given = [(i, "\n".join(f"line {(i * k) % 11}" for k in range(1, 6)) + f"\n\nown {i % 40}") for i in range(60)]
+    given += [(100 + i, "copied one\nCopied two") for i in range(12)]
+    counts = Counter(k for _, t in given for k in {key(x) for x in t.split("\n")} if k)
+    seen, want = set(), {}
+    for i, t in given:
+        stay = []
+        for line in t.split("\n"):
+            k = key(line)
+            if counts[k] < 3 or k not in seen:
+                stay.append(line)
+            seen |= {k} if k else set()
+        want[i] = "\n".join(stay)
+    shuffled = spark.createDataFrame(given[::-1], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.text for r in L.dedup_lines(shuffled, 3).collect()}
+    assert got == want and got[100] == "copied one\nCopied two" and got[111] == ""
+
+
 def test_full_filter_gives_the_same(spark):
     """A filter too small for the keys makes every key a suspect and changes nothing."""
     given = [(i, f"line {i % 700}\nown {i}") for i in range(1500)]
