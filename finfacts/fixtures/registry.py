@@ -85,10 +85,19 @@ WHERE y || 'q' || q NOT IN (SELECT DISTINCT year(d) || 'q' || quarter(d)
   FROM (SELECT {O.parse('period')} d FROM sub) WHERE d IS NOT NULL)""")
 add_direct("a11_extract_links",
     lambda spark, d: links.extract_links(given_table(spark, d, "pages"), "e", inside_table=False),
-    r"""SELECT page_id, href, link_text, string_split(href, '/')[-1] file_name FROM (
-    SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 1)) href,
-     unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 2)) link_text
-    FROM pages) WHERE link_text LIKE '%e%'""")
+    """WITH pieces AS (
+      SELECT page_id, unnest(string_split(replace(html, '<A ', '<a '), '<a ')[2:]) p FROM pages
+    ), parts AS (
+      SELECT page_id, ' ' || string_split(p, '>')[1] attrs, string_split(substr(p, strpos(p, '>') + 1), '<')[1] link_text
+      FROM pieces WHERE contains(p, '>')
+    ), named AS (
+      SELECT page_id, link_text, substr(attrs, strpos(lower(attrs), ' href=') + 6) v
+      FROM parts WHERE contains(lower(attrs), ' href=')
+    ), valued AS (
+      SELECT page_id, link_text, CASE WHEN v[1] IN (chr(34), chr(39)) THEN string_split(v, v[1])[2]
+        ELSE string_split(v, ' ')[1] END href FROM named
+    ) SELECT page_id, href, link_text, string_split(href, '/')[-1] file_name
+    FROM valued WHERE contains(link_text, 'e')""")
 
 
 
@@ -475,10 +484,10 @@ add("q7_load_report", lambda t: D.load_counts(P.financial_metadata(t), P.financi
     UNION ALL SELECT 'Financial Data Count', count(*), count(DISTINCT symbol) FROM doc_fact WHERE data_type <> 'is'""")
 add("q8_orphaned_records",
     lambda t: D.union_all(
-        C.orphans(P.financial_data(t), P.financial_metadata(t))
-        .agg(F.count("*").alias("record_count")).withColumn("check_type", F.lit("Orphaned Records")),
-        C.orphans(t["sym"].select(B.norm_symbol(F.col("symbol")).alias("symbol")), P.financial_metadata(t))
-        .agg(F.count("*").alias("record_count")).withColumn("check_type", F.lit("Unused Tickers"))),
+        C.count_orphans(P.financial_data(t), P.financial_metadata(t))
+        .withColumn("check_type", F.lit("Orphaned Records")),
+        C.count_orphans(t["sym"].select(B.norm_symbol(F.col("symbol")).alias("symbol")), P.financial_metadata(t))
+        .withColumn("check_type", F.lit("Unused Tickers"))),
     """SELECT 'Orphaned Records' check_type, count(*) record_count FROM fdata f
     LEFT JOIN meta m ON f.symbol = m.symbol WHERE m.symbol IS NULL
     UNION ALL SELECT 'Unused Tickers', count(*) FROM sym s WHERE NOT EXISTS (

@@ -161,3 +161,10 @@ def join_doc_tables(
 def orphans(data: DataFrame, meta: DataFrame) -> DataFrame:
     """Data rows whose symbol has no metadata row; a NULL symbol is an orphan."""
     return data.join(meta.select("symbol").distinct(), "symbol", "left_anti")
+
+
+def count_orphans(data: DataFrame, meta: DataFrame) -> DataFrame:
+    """Their number as ``record_count``; rows are counted per symbol before the join."""
+    per_symbol = counted(data, ["symbol"])
+    missing = orphans(per_symbol, meta)
+    return missing.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("record_count"))

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from finfacts.functions import last_path_segment
 
-ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)'
-TABLE = r"(?is)<table\b.*?</table>"
+# An href stands in double quotes, in single quotes, or alone up to white space.
+ANCHOR = (
+    r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>([^<]*)"""
+)
+TABLE_EDGE = r"(?i)(?=</?table\b)"
+
+
+def _inside_tables(html: Column) -> Column:
+    """The parts of a page within tables, nested ones and what follows them included."""
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(acc: Column, part: Column) -> Column:
+        opens, closes = F.lower(part).startswith("<table"), F.lower(part).startswith("</table")
+        depth = F.greatest(acc["depth"] + opens.cast("int") - closes.cast("int"), F.lit(0))
+        kept = F.when(depth > 0, F.array_append(acc["kept"], part)).otherwise(acc["kept"])
+        return F.struct(depth.alias("depth"), kept.alias("kept"))
+
+    parts = F.aggregate(F.split(html, TABLE_EDGE), start, step, lambda acc: acc["kept"])
+    return F.array_join(parts, "\n")
 
 
 def extract_links(
@@ -17,17 +34,11 @@ def extract_links(
 
     ``inside_table`` keeps only anchors within an HTML table.
     """
-    html = F.col("html")
-    if inside_table:
-        html = F.array_join(F.regexp_extract_all(html, F.lit(TABLE), 0), "\n")
+    html = _inside_tables(F.col("html")) if inside_table else F.col("html")
+    found = [F.regexp_extract_all("_html", F.lit(ANCHOR), i).alias(f"g{i}") for i in range(1, 5)]
     anchors = pages.select("page_id", html.alias("_html")).select(
-        "page_id",
-        F.explode(F.arrays_zip(
-            F.regexp_extract_all("_html", F.lit(ANCHOR), 1).alias("href"),
-            F.regexp_extract_all("_html", F.lit(ANCHOR), 2).alias("text"),
-        )).alias("a"),
-    )
-    return anchors.filter(F.col("a.text").contains(text_like)).select(
-        "page_id", F.col("a.href").alias("href"), F.col("a.text").alias("link_text"),
-        last_path_segment(F.col("a.href")).alias("file_name"),
-    )
+        "page_id", F.explode(F.arrays_zip(*found)).alias("a"))
+    links = anchors.select(
+        "page_id", F.concat("a.g1", "a.g2", "a.g3").alias("href"), F.col("a.g4").alias("link_text"))
+    return links.filter(F.col("link_text").contains(text_like)).select(
+        "*", last_path_segment(F.col("href")).alias("file_name"))

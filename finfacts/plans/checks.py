@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from finfacts.functions import safe_date
 from finfacts.operators import quality as Q
 from finfacts.operators.aggregates import union_all
 from finfacts.plans import statements as S
@@ -32,8 +33,14 @@ def source_checks(tables: S.Tables) -> DataFrame:
     return union_all(*reports)
 
 
-def staging_checks(tables: S.Tables) -> DataFrame:
-    """Checks of the three staging statements, one pass for all."""
+def statement_checks(tables: S.Tables) -> DataFrame:
+    """Checks of the staging statements, the fact table and the company metrics.
+
+    The three read one staging plan, which Spark computes once. Facts are its rows that
+    pass the guards, and all counts are taken per company before they meet the filings.
+    """
+    staged = S.staging(tables)
+    guarded = S.fact_guards()
     checks = []
     for statement, label in SOURCE_LABELS.items():
         own = F.col("source_file") == label
@@ -42,28 +49,22 @@ def staging_checks(tables: S.Tables) -> DataFrame:
         checks.append(Q.accepted_values(
             "fiscal_period", FISCAL_PERIODS, own & F.col("fiscal_period").isNotNull(), name
         ))
-    return Q.check_table(S.staging(tables), "staging", checks)
-
-
-def mart_checks(tables: S.Tables) -> DataFrame:
-    """Checks of the fact table and of the company metrics."""
-    facts = S.fct_financial_statements(tables)
-    fact_rules = [Q.not_null(c) for c in FACT_NOT_NULL]
-    fact_rules.append(Q.accepted_values("fiscal_period", FISCAL_PERIODS))
-    fact_rules.append(Q.expression_is_true(
-        "filing_date", F.col("filing_date").between(MIN_DATE, MAX_DATE)
-    ))
+    fact = "fct_financial_statements"
+    checks += [Q.not_null(c, guarded, fact) for c in FACT_NOT_NULL if c != "filing_date"]
+    day = safe_date(F.col("filing_date"))
+    checks.append(Q.Check("not_null", "filing_date", guarded & day.isNull(), fact))
+    checks.append(Q.accepted_values("fiscal_period", FISCAL_PERIODS, guarded, fact))
+    checks.append(Q.expression_is_true("filing_date", day.between(MIN_DATE, MAX_DATE), guarded, fact))
+    facts = S.facts_of_filings(staged)
     metric_rules = [Q.not_null(c) for c in METRICS_NOT_NULL]
     metric_rules.append(Q.accepted_values("fiscal_period", FISCAL_PERIODS))
     return union_all(
-        Q.check_table(facts, "fct_financial_statements", fact_rules),
-        Q.relationship(
-            facts, "company_symbol", tables["sub"], "cik", "fct_financial_statements"
-        ),
-        Q.check_table(S.company_metrics(tables), "company_metrics", metric_rules),
+        Q.check_table(staged, "staging", checks),
+        Q.relationship(facts, "company_symbol", tables["sub"], "cik", fact),
+        Q.check_table(S.company_metrics_from_facts(facts), "company_metrics", metric_rules),
     )
 
 
 def all_checks(tables: S.Tables) -> DataFrame:
     """Every declared check with its number of failures."""
-    return union_all(source_checks(tables), staging_checks(tables), mart_checks(tables))
+    return union_all(source_checks(tables), statement_checks(tables))

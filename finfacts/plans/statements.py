@@ -116,13 +116,23 @@ def _dated(staged: DataFrame) -> DataFrame:
     return staged.withColumn("filing_date", safe_date(F.col("filing_date"))).select(*FACT_COLUMNS)
 
 
-def facts_from_staging(staged: DataFrame, sub: DataFrame) -> DataFrame:
-    """Guard stored staging rows, keep the companies of ``sub`` and parse the filing date."""
-    return _dated(valid_companies(staged, sub).filter(
+def fact_guards() -> Column:
+    """True for the staging rows that become facts."""
+    return (
         F.col("company_symbol").isNotNull() & F.col("metric_value").isNotNull()
         & safe_date(F.col("filing_date")).isNotNull() & F.col("fiscal_year").isNotNull()
         & F.col("fiscal_period").isin(*FISCAL_PERIODS)
-    ))
+    )
+
+
+def facts_of_filings(staged: DataFrame) -> DataFrame:
+    """Facts of staging rows whose companies all come from ``sub``."""
+    return _dated(staged.filter(fact_guards()))
+
+
+def facts_from_staging(staged: DataFrame, sub: DataFrame) -> DataFrame:
+    """Guard stored staging rows, keep the companies of ``sub`` and parse the filing date."""
+    return facts_of_filings(valid_companies(staged, sub))
 
 
 def fct_financial_statements(tables: Tables, load_time: bool = False) -> DataFrame:

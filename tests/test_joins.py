@@ -77,6 +77,8 @@ def test_orphans(spark):
     data = frame(spark, "symbol v", ("a", "1"), ("b", "2"), (None, "3"))
     meta = frame(spark, "symbol name", ("a", "A"), ("a", "A"))
     assert rows(C.orphans(data, meta)) == [("b", "2"), (None, "3")]
+    assert rows(C.count_orphans(data, meta)) == [(2,)]
+    assert rows(C.count_orphans(meta, meta)) == [(0,)]
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tiny, tmp_path):

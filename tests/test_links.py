@@ -18,3 +18,13 @@ def test_links_inside_tables(spark):
 def test_links_anywhere(spark):
     pages = frame(spark, "page_id int, html string", (1, HTML))
     assert extract_links(pages, "Q", inside_table=False).count() == 5
+
+
+def test_quotes_and_nested_tables(spark):
+    html = """<table><tr><td><a href='/s/q1.zip'>Q1</a><table><a class=x href=/u/q2.zip>Q2</a></table>
+    <a data-href="/no" title="t">Q no</a><a data-href="/no" href = "/d/q3.zip">Q3</a></td></tr></table>
+    </table><a href='/out'>Q out</a>"""
+    pages = frame(spark, "page_id int, html string", (1, html))
+    assert rows(extract_links(pages).select("href", "link_text")) == [
+        ("/d/q3.zip", "Q3"), ("/s/q1.zip", "Q1"), ("/u/q2.zip", "Q2")]
+    assert extract_links(pages, inside_table=False).count() == 4

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import frame, rows
 from finfacts.operators import quality as Q
 from finfacts.plans import forms, statements as S
+from finfacts.plans.checks import all_checks
 from finfacts.schema import FISCAL_PERIODS, RATIO_COLUMNS
 
 
@@ -118,3 +120,17 @@ def test_stored_form_equals_the_lazy_one(spark, tiny, tmp_path):
     for name, table in lazy.items():
         columns = [c for c in table.columns if c not in ("loaded_at", "dbt_loaded_at")]
         assert rows(stored[name].select(*columns)) == rows(table.select(*columns)), name
+
+
+def test_checks_scan_the_values_twice(spark, tiny, tmp_path):
+    """Once for the raw table, once for the staging plan that all marts share."""
+    tables = {}
+    for name in ("sub", "num", "pre", "tag"):
+        tiny[name].write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    report = all_checks(tables)
+    assert report.count() > 20
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString()
+    final = final.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet.*?/num\]", final)) == 2
