@@ -24,6 +24,7 @@ from xxhash import xxh64_intdigest
 
 from finfacts.llm.common import Batches, Mapper, content_key, stored, table, texts
 from finfacts.llm.components import connected_components
+from finfacts.llm.shingle_sets import similar_components
 
 SEED = 42
 # Fingerprints in a shard, and in a leaf that is searched without further splits.
@@ -274,11 +275,16 @@ def near_components(
     docs: DataFrame, size: int = 5, radius: int = 12, min_similarity: float | None = 0.8,
     id_column: str = "doc_id",
 ) -> DataFrame:
-    """One row per row of ``docs``: content key, ``doc_id``, ``fp``, ``component`` (a fingerprint).
+    """One row per row of ``docs``: content key, ``doc_id``, ``fp``, ``component`` (an ``fp``).
 
     Texts are lower-cased (A-Z); shingles are ``size`` words, a shorter text is one
-    shingle and one without words has fingerprint zero. Equal fingerprints always link.
+    shingle. With a minimum similarity, texts link if the Jaccard similarity of their
+    shingle sets reaches it, ``fp`` stands for the set and ``radius`` plays no part.
+    Without one, they link if their fingerprints differ in at most ``radius`` bits; a
+    text without words has fingerprint zero. Equal ``fp`` always link.
     """
+    if min_similarity is not None:
+        return similar_components(docs, size, min_similarity, id_column)
     k1, k2 = content_key(F.col(f"`{id_column}`"), F.col("`text`"))
     keyed = docs.select(F.col("`text`").cast("binary").alias("text"), k1, k2,
                         F.col(f"`{id_column}`").cast("long").alias("doc_id"))
