@@ -58,3 +58,27 @@ def test_short_texts_and_exact_limit(spark):
     other = [" ".join(f"b{i}" for i in range(n)) for n in (8, 10)]
     texts = [nine, eight, *other, "one", "ONE", "two", "", None, " \n"]
     assert members(spark, texts) == [0, 0, 2, 3, 4, 4, 6, 7, 7, 7]
+
+
+@pytest.mark.parametrize("block", [X.BLOCK, 7])
+def test_large_group_is_compared_in_blocks(spark, monkeypatch, block):
+    """Edits of one text, most of them apart from each other, give the components of all pairs."""
+    monkeypatch.setattr(X, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(edited(rng, base, int(rng.integers(1, 6)))) for _ in range(150)]
+    want = expected(texts)
+    assert len(set(want)) > 20 and max(map(want.count, want)) > 5
+    assert members(spark, texts) == want
+
+
+def test_no_task_gets_more_than_two_blocks(spark, monkeypatch):
+    monkeypatch.setattr(X, "BLOCK", 10)
+    met = []
+    monkeypatch.setattr(X, "stored", lambda df, keep=X.stored: met.append(keep(df)) or met[-1])
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(100)]
+    members(spark, [" ".join(edited(rng, base, 4)) for _ in range(200)])
+    joined = next(df for df in met if "left" in df.columns)
+    largest = joined.groupBy("band", "key", "left", "right").count().agg({"count": "max"}).first()[0]
+    assert joined.filter("right > 1").count() > 0 and largest <= 4 * X.BLOCK
