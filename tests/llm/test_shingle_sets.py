@@ -82,3 +82,13 @@ def test_no_task_gets_more_than_two_blocks(spark, monkeypatch):
     joined = next(df for df in met if "left" in df.columns)
     largest = joined.groupBy("band", "key", "left", "right").count().agg({"count": "max"}).first()[0]
     assert joined.filter("right > 1").count() > 0 and largest <= 4 * X.BLOCK
+
+
+@pytest.mark.parametrize("repeats", [2, 9])
+def test_repeated_passage_does_not_part_copies(spark, repeats):
+    """The sets are nearly equal, the numbers of shingles with repeats are far apart."""
+    texts = []
+    for k in range(40):
+        body = [f"d{k}w{i}" for i in range(200)]
+        texts += [" ".join(body), " ".join([*body, *body[-100:] * repeats])]
+    assert members(spark, texts) == [i // 2 * 2 for i in range(80)]
