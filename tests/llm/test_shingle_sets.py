@@ -92,3 +92,11 @@ def test_repeated_passage_does_not_part_copies(spark, repeats):
         body = [f"d{k}w{i}" for i in range(200)]
         texts += [" ".join(body), " ".join([*body, *body[-100:] * repeats])]
     assert members(spark, texts) == [i // 2 * 2 for i in range(80)]
+
+
+def test_equal_fingerprints_of_different_texts_stay_apart(spark):
+    """A line that makes up most of a text sets its fingerprint, and little of its set."""
+    line = " ".join(["same"] * 400)
+    texts = [f"{line} " + " ".join(f"d{k}w{i}" for i in range(100)) for k in range(6)]
+    assert len({S.fingerprint(t.encode(), 5)[0] for t in texts}) == 1
+    assert members(spark, texts) == list(range(6))
