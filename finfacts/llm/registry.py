@@ -1,8 +1,8 @@
 """The queries of this package and their check SQL."""
 
 from finfacts.llm import (
-    chat_format, embedding_dedup, grade_classifier, line_dedup, packing, quality_rules,
-    sentence_pieces, simhash_dedup, token_store, url_filter,
+    chat_format, embedding_dedup, grade_classifier, line_dedup, packing, periodic_runs, prefix_trie,
+    quality_rules, sentence_pieces, simhash_dedup, token_store, url_filter, window_packing,
 )
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_quality_classifier": grade_classifier.op9_quality_classifier,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_window_packing": window_packing.op13_window_packing,
 }
 
 ORACLES = {
