@@ -31,8 +31,14 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def content_key(*columns: str | Column) -> tuple[Column, Column]:
-    """Two 64-bit hashes that stand for the content of a row; equal rows share them."""
-    return F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(7), *columns).alias("k2")
+    """Two 64-bit hashes that stand for the content of a row; equal rows share them.
+
+    A hash passes over a null, so the places of nulls are hashed too.
+    """
+    values = [F.col(c) if isinstance(c, str) else c for c in columns]
+    nulls = [v.isNull() for v in values]
+    return (F.xxhash64(*values, *nulls).alias("k1"),
+            F.xxhash64(F.lit(7), *values, *nulls).alias("k2"))
 
 
 def nested(df: DataFrame, *more: Column) -> DataFrame:

@@ -258,3 +258,13 @@ def test_query1_digest(spark):
     expected = duckdb.sql(L.OP1_SQL.replace("FROM documents", f"FROM '{SF}/documents.parquet'")).fetchall()
     assert sorted(map(tuple, got)) == sorted(expected)
     assert hashlib.sha256(b"").hexdigest() != got[0].kept_sha256
+
+
+def test_swapped_nulls_are_different_documents(spark):
+    """A null source with a text and the same source with a null text share nothing."""
+    text = "one two three"
+    for order in (1, -1):
+        given = [(1, "web", None), (2, None, "web"), (3, "web", text), (4, text, "web")][::order]
+        docs = spark.createDataFrame(given, "doc_id long, source string, text string")
+        got = {r.doc_id: (r.n_words, r.word_chars) for r in Q.rule_quality(docs).collect()}
+        assert got == {1: (0, 0), 2: (1, 3), 3: (3, 11), 4: (1, 3)}
