@@ -54,12 +54,14 @@ def _claim(spark: SparkSession, dst: str, checkpoint: str) -> None:
     """Note the checkpoint that fills ``dst``; batch numbers of another one would mix with its own."""
     mark = f"{dst}/landed_by"
     try:
-        owner = spark.read.text(mark).first()["value"]
+        owner = spark.read.text(mark).first()
     except AnalysisException:
-        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(mark)
-        return
-    if owner != checkpoint:
-        raise ValueError(f"{dst} is filled by the checkpoint {owner}; use it or another target")
+        owner = None
+    if owner is None:
+        # A write that was cut short has left an empty mark.
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+    elif owner["value"] != checkpoint:
+        raise ValueError(f"{dst} is filled by the checkpoint {owner['value']}; use it or another target")
 
 
 def ingest_documents(

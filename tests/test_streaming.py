@@ -48,6 +48,16 @@ def test_another_checkpoint_on_the_same_target_is_an_error(spark, tiny, tmp_path
     assert rows(landed(spark, dst)) == before
 
 
+def test_an_empty_mark_claims_nothing(spark, tiny, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    write_documents(P.filing_documents(tiny), src, "2020q1")
+    (tmp_path / "dst" / "landed_by").mkdir(parents=True)
+    ingest_documents(spark, src, dst, str(tmp_path / "one"))
+    assert not landed(spark, dst).isEmpty()
+    with pytest.raises(ValueError, match="filled by the checkpoint"):
+        ingest_documents(spark, src, dst, str(tmp_path / "two"))
+
+
 def test_one_file_per_document(spark, tmp_path):
     folder = tmp_path / "src" / "2020q1"
     folder.mkdir(parents=True)
