@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from finfacts.functions import parse_period
 from finfacts.schema import (
@@ -36,6 +37,16 @@ def raw_paths(root: str, table: str, periods: Sequence[str] | None, unpacked: bo
     return [f"{root.rstrip('/')}/{folder.format(p, table)}" for p in (periods or ["*"])]
 
 
+def raw_csv(source: DataFrameReader | DataStreamReader, table: str) -> DataFrameReader | DataStreamReader:
+    """A batch or stream reader set up for the files of a raw table."""
+    return (
+        source.schema(raw_schema(table))
+        .option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+        .option("mode", "PERMISSIVE")
+    )
+
+
 def read_raw(
     spark: SparkSession, root: str, table: str, periods: Sequence[str] | None = None,
     on_error: str = "abort", unpacked: bool = False,
@@ -47,13 +58,7 @@ def read_raw(
     ``unpacked`` reads the folders written by ``unpack_archives``. Files are split
     and read in parallel.
     """
-    rows = (
-        spark.read.schema(raw_schema(table))
-        .option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-        .option("mode", "PERMISSIVE")
-        .csv(raw_paths(root, table, periods, unpacked))
-    )
+    rows = raw_csv(spark.read, table).csv(raw_paths(root, table, periods, unpacked))
     named = rows.select(
         *RAW_COLUMNS[table], period_of(F.col("_metadata.file_path")).alias("period_folder")
     )
@@ -96,6 +101,17 @@ def _typed(column: str, kind: str | None) -> Column:
     return text.try_cast(kind)
 
 
+def misfit(table: str, types: bool = True) -> Column:
+    """Why a raw row cannot be loaded: the first required column it lacks, or text of the wrong type; else NULL."""
+    reasons = [F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in REQUIRED_COLUMNS[table]]
+    if types:
+        reasons += [
+            F.when(F.col(c).isNotNull() & _typed(c, kind).isNull(), F.lit(f"{c} is no {kind}"))
+            for c, kind in TYPED_COLUMNS[table].items()
+        ]
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
+
+
 def typed(df: DataFrame, table: str, on_error: str = "null") -> DataFrame:
     """Typed form of an all-string table.
 
