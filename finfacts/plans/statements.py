@@ -149,19 +149,24 @@ def company_metrics_from_facts(facts: DataFrame) -> DataFrame:
     return with_ratios(pivot_metrics(facts, METRIC_KEYS))
 
 
-def _per_filing(tables: Tables, columns: Mapping[str, str]) -> DataFrame:
+def known_tags(tag: DataFrame) -> DataFrame:
+    """The statement tags that the tag dictionary holds: at most one row for each."""
+    return tag.filter(F.col("tag").isin(*statement_tags(tuple(STATEMENT_TAGS)))).select("tag").distinct()
+
+
+def _per_filing(tables: Tables, columns: Mapping[str, str], known_only: bool = True) -> DataFrame:
     """Maximum of each metric within a filing, one row per filing with any statement value.
 
     A maximum ignores duplicates and labels, so neither the distinct rows nor the
     label join of the staging statements are needed. ``num`` is reduced before
-    its only shuffle; a filing that holds most rows sends one row per task.
+    its only shuffle; a filing that holds most rows sends one row per task. Without
+    ``known_only`` tags count that the dictionary lacks.
     """
-    tags = statement_tags(tuple(STATEMENT_TAGS))
-    known = F.broadcast(  # at most one row per listed tag
-        tables["tag"].filter(F.col("tag").isin(*tags))
-        .select(F.col("tag").alias("metric_code")).distinct()
-    )
-    values = _numbers(tables["num"], tags).join(known, "metric_code", "left_semi")
+    values = _numbers(tables["num"], statement_tags(tuple(STATEMENT_TAGS)))
+    if known_only:
+        # At most one row per listed tag.
+        known = F.broadcast(known_tags(tables["tag"]).select(F.col("tag").alias("metric_code")))
+        values = values.join(known, "metric_code", "left_semi")
     pivoted = values.groupBy("adsh").agg(
         F.count("metric_value").alias("_values"),
         *[max_where("metric_code", tag, "metric_value").alias(name)
@@ -170,16 +175,18 @@ def _per_filing(tables: Tables, columns: Mapping[str, str]) -> DataFrame:
     return pivoted.filter(F.col("_values") > 0).drop("_values")
 
 
-def company_metrics(tables: Tables) -> DataFrame:
-    """Twelve metrics and eight ratios per company and period, out of the raw tables."""
+def metric_maxima(tables: Tables, columns: Mapping[str, str], known_only: bool = True) -> DataFrame:
+    """Maximum of each metric per company and period, out of the raw tables."""
     filings = _filings(tables["sub"], complete_only=True).withColumn(
         "filing_date", safe_date(F.col("filing_date"))
     )
-    joined = join_filing(_per_filing(tables, METRIC_COLUMNS), filings)
-    pivoted = joined.groupBy(*METRIC_KEYS).agg(
-        *[F.max(name).alias(name) for name in METRIC_COLUMNS]
-    )
-    return with_ratios(pivoted)
+    joined = join_filing(_per_filing(tables, columns, known_only), filings)
+    return joined.groupBy(*METRIC_KEYS).agg(*[F.max(name).alias(name) for name in columns])
+
+
+def company_metrics(tables: Tables) -> DataFrame:
+    """Twelve metrics and eight ratios per company and period, out of the raw tables."""
+    return with_ratios(metric_maxima(tables, METRIC_COLUMNS))
 
 
 STATEMENT_KEY = (

@@ -46,6 +46,26 @@ def save_bucketed(
     writer.saveAsTable(table)
 
 
+def replace_view(df: DataFrame, name: str, root: str) -> str:
+    """Replace what readers see under ``name`` without a moment in which it is gone.
+
+    The rows are written to a new folder under ``root`` and the catalog's view ``name`` then
+    points at it. A write that fails leaves the view as it was; readers that began
+    before go on with the old folder, and columns may change. ``df`` may read the view itself.
+    Returns the folder; older ones stay until ``remove_folder``.
+    """
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and all in it, in whatever store it lies; false if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder in the shared place the cluster names in ``spark.checkpoint.dir``.
 
