@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from finfacts import functions as B
 from finfacts.fixtures import oracle as O
 from finfacts.fixtures.tables import filing_tables, given_table
 from finfacts.operators import aggregates as D, joins as C, links, nested, quality as Q
-from finfacts.plans import catalog as N, checks as K, filings as P, statements as S
+from finfacts.operators.variants import flatten_variants, variant_metadata
+from finfacts.plans import (
+    buckets, catalog as N, checks as K, filings as P, periods, rewrites, statements as S,
+)
 from finfacts.schema import (
     DOC_HEADER, DOC_SCHEMA, DOCUMENT_PARTS, FISCAL_PERIODS, RATIO_COLUMNS, RAW_COLUMNS,
 )
 from finfacts.plans.forms import load_form
 from finfacts.sources.documents import read_documents, write_documents
+from finfacts.sources.loads import (
+    landed_documents, load_documents, load_raw, load_report, loaded_rows, refused_rows,
+)
 from finfacts.sources.manifest import missing_periods, staged_manifest
 from finfacts.sources.raw import read_raw, read_tickers, typed
-from finfacts.sources.sinks import save_model, scratch_folder
+from finfacts.sources.sinks import replace_view, save_model, scratch_folder
 from finfacts.streaming.landing import ingest_documents
+from finfacts.streaming.statements import ingest_statements, ingested_statements
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,11 +144,32 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{landed}/financial_data").drop("ingest_batch")
 
 
+def _ddate_quarter() -> Column:
+    day = B.parse_period(F.col("ddate"))
+    return B.period_key(F.year(day), F.concat(F.lit("Q"), F.quarter(day).cast("string")), first_year=1990)
+
+
+_DDATE_QUARTER = f"year({O.parse('ddate')}) || 'q' || quarter({O.parse('ddate')})"
+
+
+def _write_values(spark: SparkSession, sf_dir: str, member: Column | None = None) -> str:
+    """The reported values as tab-separated files by quarter of their date, one file for each member."""
+    root = scratch_folder(spark)
+    num = filing_tables(spark, sf_dir)["num"].select(
+        "*", _ddate_quarter().alias("period_folder"), (F.lit("num.txt") if member is None else member).alias("member"))
+    (
+        num.repartition("period_folder", "member").write.partitionBy("period_folder", "member")
+        .option("sep", "\t").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
+    )
+    return root
+
+
 def _manifest_of_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest of document folders whose names and number come from the data."""
-    return staged_manifest(spark, _write_documents(spark, sf_dir)).select(
-        F.regexp_replace("period_folder", "^period_folder=", "").alias("period_folder"),
-        (F.col("bytes") > 0).alias("filled"), F.col("archive").isNull().alias("no_archive"))
+    """The manifest of folders whose names and numbers of files come from the data."""
+    return staged_manifest(spark, _write_values(spark, sf_dir, F.col("tag"))).select(
+        "period_folder", "files", (F.col("bytes") > 0).alias("filled"),
+        F.col("archive").isNull().alias("no_archive"))
 
 
 add_direct("a1_read_raw",
@@ -155,8 +183,56 @@ add_direct("a2_skip_invalid_rows",
     WHERE value IS NULL OR TRY_CAST(value AS decimal(28,4)) IS NOT NULL""")
 add_direct("a5_staged_manifest",
     _manifest_of_periods,
-    """SELECT period_folder, true filled, true no_archive FROM (
-      SELECT DISTINCT year(startDate) || 'q' || quarter(startDate) period_folder FROM meta)""")
+    f"""SELECT {_DDATE_QUARTER} period_folder, count(DISTINCT tag) files, true filled, true no_archive
+    FROM num GROUP BY 1""")
+
+
+def _loaded_in_steps(spark: SparkSession, sf_dir: str) -> str:
+    """Values loaded in two steps, the second over all files, and then once more and by force."""
+    root, dst = _write_values(spark, sf_dir), scratch_folder(spark)
+    load = lambda **options: load_raw(spark, root, "num", dst, unpacked=True, **options)
+    load(periods=["*q[12]"])
+    load()
+    if load().files or not load(periods=["*q1"], force=True).files:
+        raise AssertionError("a file was taken twice, or not by force")
+    return dst
+
+
+_FITS = "(value IS NULL OR TRY_CAST(value AS decimal(28,4)) IS NOT NULL)"
+add_direct("a1_load_history",
+    lambda spark, d: loaded_rows(spark, _loaded_in_steps(spark, d)).select(
+        "adsh", "tag", "version", "ddate", "qtrs", "uom", "value", "period_folder"),
+    f"""SELECT adsh, tag, version, ddate, qtrs, trim(uom) uom, value, {_DDATE_QUARTER} period_folder
+    FROM num WHERE {_FITS}""")
+add_direct("a2_load_report",
+    lambda spark, d: load_report(spark, _loaded_in_steps(spark, d), ["period_folder"]),
+    f"""SELECT *, CASE WHEN rows_refused = 0 THEN 'LOADED' WHEN rows_kept = 0 THEN 'LOAD_FAILED'
+      ELSE 'PARTIALLY_LOADED' END status
+    FROM (SELECT {_DDATE_QUARTER} period_folder, count(*) rows_read, count(*) FILTER ({_FITS}) rows_kept,
+      count(*) FILTER (NOT {_FITS}) rows_refused,
+      max('value is no decimal(28,4)') FILTER (NOT {_FITS}) first_reason FROM num GROUP BY 1)""")
+add_direct("a2_refused_rows",
+    lambda spark, d: refused_rows(spark, _loaded_in_steps(spark, d)).select(
+        "adsh", "tag", "value", "reason", "period_folder"),
+    f"""SELECT adsh, tag, value, 'value is no decimal(28,4)' reason, {_DDATE_QUARTER} period_folder
+    FROM num WHERE NOT {_FITS}""")
+
+
+def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dst = scratch_folder(spark)
+    load_documents(spark, _write_documents(spark, sf_dir), dst)
+    return landed_documents(spark, dst)
+
+
+def _replaced_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table under a view that another table held before."""
+    t, root = filing_tables(spark, sf_dir), scratch_folder(spark)
+    name = f"facts_{root[-32:]}"
+    replace_view(S.stg_balance_sheet(t), name, root)
+    replace_view(S.fct_financial_statements(t), name, root)
+    return spark.table(name)
+
+
 add_direct("a7_read_documents",
     lambda spark, d: P.document_tables(read_documents(spark, _write_documents(spark, d)))[1],
     "SELECT * FROM fdata")
@@ -175,10 +251,25 @@ def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 add_direct("a9_read_tickers", _tickers, "SELECT cik, symbol FROM first_symbol")
 add_direct("a10_save_model", _saved_facts, "SELECT * FROM fct")
+add_direct("a10_replace_view", _replaced_facts, "SELECT * FROM fct")
 add_direct("i1_ingest_documents", _ingested,
     """SELECT year(h.startDate) || 'q' || quarter(h.startDate) period_folder, d.symbol, data_type, concept,
     info, unit, CAST(value AS double) AS value FROM doc_fact d JOIN status h ON h.adsh = d.adsh
     WHERE data_type IN ('bs', 'cf')""")
+
+
+def _streamed_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging rows of values that arrive as a stream of files, a few in a batch."""
+    dst = scratch_folder(spark)
+    tables = filing_tables(spark, sf_dir)
+    ingest_statements(spark, _write_values(spark, sf_dir), {k: tables[k] for k in ("sub", "tag")}, f"{dst}/rows",
+                      f"{dst}/checkpoint", unpacked=True, files_per_batch=10)
+    return ingested_statements(spark, f"{dst}/rows")
+
+
+add_direct("i1_ingest_statements", _streamed_statements,
+    """SELECT * FROM stg_balance_sheet UNION ALL SELECT * FROM stg_income_statement
+    UNION ALL SELECT * FROM stg_cash_flow""")
 add_direct("m11_raw_form",
     lambda spark, d: D.table_counts({
         k: v for k, v in load_form(spark, "RAW", _write_raw(spark, d)).items() if k in RAW_COLUMNS}),
@@ -424,6 +515,13 @@ add("g2_union_checks",
 add("h1_flatten_documents",
     lambda t: nested.flatten_documents(P.filing_documents(t)),
     "SELECT adsh, symbol, data_type, label, concept, info, unit, value FROM doc_fact WHERE data_type IN ('bs', 'cf')")
+add_direct("h1_flatten_variant",
+    lambda spark, d: flatten_variants(_variants(spark, d)),
+    """SELECT year(h.startDate) || 'q' || quarter(h.startDate) period_folder, d.symbol, data_type, label, concept,
+    info, unit, value FROM doc_fact d JOIN status h ON h.adsh = d.adsh WHERE data_type IN ('bs', 'cf')""")
+add_direct("h2_variant_metadata",
+    lambda spark, d: variant_metadata(_variants(spark, d)),
+    """SELECT year(startDate) || 'q' || quarter(startDate) period_folder, * FROM meta""")
 add("h2_document_metadata",
     lambda t: nested.document_metadata(P.filing_documents(t)),
     "SELECT adsh, startDate, endDate, year, quarter, symbol, name, country, city FROM status WHERE status = 'ok'")
@@ -546,12 +644,39 @@ add("m2_stg_income_statement", S.stg_income_statement, "SELECT * FROM stg_income
 add("m3_stg_cash_flow", S.stg_cash_flow, "SELECT * FROM stg_cash_flow")
 add("m4_fct_financial_statements", S.fct_financial_statements, "SELECT * FROM fct")
 _METRICS_SQL = "SELECT * REPLACE (" + ", ".join(f"round({r}, 6) AS {r}" for r in RATIO_COLUMNS) + ") FROM metrics"
-add("m4_facts_from_staging",
-    lambda t: S.facts_from_staging(S.staging(t), t["sub"].filter("cast(cik AS bigint) % 3 <> 0")),
-    "SELECT * FROM fct WHERE CAST(company_symbol AS bigint) % 3 <> 0")
+
+
+def _facts_among_strangers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts out of staging rows, among them one of every company that files nothing."""
+    t = filing_tables(spark, sf_dir)
+    staged = S.staging(t)
+    customers, orders = (given_table(spark, sf_dir, n) for n in ("customer", "orders"))
+    strangers = customers.join(orders, customers.c_custkey == orders.o_custkey, "left_anti").select(
+        F.col("c_custkey").cast("string").alias("company_symbol"), F.lit("20200101").alias("filing_date"),
+        F.lit("2020").alias("fiscal_year"), F.lit("FY").alias("fiscal_period"), F.col("c_name").alias("metric_name"),
+        F.lit("Assets").alias("metric_code"), F.lit("monetary").alias("metric_info"),
+        F.lit("USD").alias("measurement_unit"), F.col("c_acctbal").cast("decimal(38,4)").alias("metric_value"),
+        F.lit(S.SOURCE_LABELS["balance_sheet"]).alias("source_file"))
+    return S.facts_from_staging(staged.unionByName(strangers), t["sub"])
+
+
+add_direct("m4_facts_from_staging", _facts_among_strangers, "SELECT * FROM fct")
 add("m5_company_metrics", lambda t: rounded(S.company_metrics(t), RATIO_COLUMNS), _METRICS_SQL)
 add("m5_company_metrics_from_facts",
     lambda t: rounded(S.company_metrics_from_facts(S.fct_financial_statements(t)), RATIO_COLUMNS), _METRICS_SQL)
+
+
+def _metrics_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics after four loads; a filing and its values come with the same one."""
+    t, store = filing_tables(spark, sf_dir), scratch_folder(spark)
+    load = F.pmod(F.col("adsh").cast("bigint"), F.lit(4))
+    for i in range(4):
+        own = {n: t[n].filter(load == i) for n in ("sub", "num")}
+        periods.add_period({**own, "tag": t["tag"]}, store, f"2022q{i + 1}")
+    return rounded(periods.company_metrics_of_periods(spark, store), RATIO_COLUMNS)
+
+
+add_direct("m5_metrics_of_periods", _metrics_in_periods, _METRICS_SQL)
 add("m6_balance_sheet", S.balance_sheet, "SELECT * FROM balance_sheet")
 add("m6_income_statement", S.income_statement, "SELECT * FROM income_statement")
 add("m6_cash_flow", S.cash_flow, "SELECT * FROM cash_flow")
@@ -564,8 +689,31 @@ add("m8_filing_documents",
     CAST(count(*) FILTER (data_type = 'cf') AS int) cf_facts,
     CAST(count(*) FILTER (data_type = 'ic') AS int) ic_facts
     FROM status s LEFT JOIN doc_fact d ON d.adsh = s.adsh WHERE s.status = 'ok' GROUP BY ALL""")
+
+
+def _rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stored without one of their tags first, then brought up to the whole tables."""
+    t, store = filing_tables(spark, sf_dir), scratch_folder(spark)
+    rewrites.update_documents({**t, "num": t["num"].filter("tag <> 'Assets'")}, store)
+    rewrites.update_documents(t, store)
+    return nested.flatten_documents(rewrites.current_documents(spark, store), DOCUMENT_PARTS)
+
+
+add_direct("m8_update_documents", _rewritten, _DOC_ROWS)
+
+
+def _by_filing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    t, root = filing_tables(spark, sf_dir), scratch_folder(spark)
+    prefix = f"by_filing_{root[-32:]}_"
+    buckets.store_by_filing(t, prefix, root, buckets=8)
+    return buckets.tables_by_filing(spark, prefix, tuple(t))
+
+
 add("m9_financial_metadata", P.financial_metadata, "SELECT * FROM meta")
 add("m10_financial_data", P.financial_data, "SELECT * FROM fdata")
+add_direct("m10_financial_data_bucketed", lambda spark, d: P.financial_data(_by_filing(spark, d)), "SELECT * FROM fdata")
+add_direct("m8_filing_documents_bucketed",
+    lambda spark, d: nested.flatten_documents(P.filing_documents(_by_filing(spark, d)), DOCUMENT_PARTS), _DOC_ROWS)
 add("m10_financial_data_exact", lambda t: P.financial_data(t, DOCUMENT_PARTS, exact=True),
     """SELECT h.symbol, lower(p.stmt) data_type, n.tag concept, replace(p.plabel, '"', '''') info,
     n.uom unit, CAST(TRY_CAST(n.value AS decimal(28,4)) AS double) AS value
