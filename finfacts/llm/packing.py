@@ -16,13 +16,11 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from finfacts.llm.common import Batches, Mapper, batch, shape, stored, table
+from finfacts.llm.common import Batches, Mapper, batch, nested, shape, stored, table, unnested
 from finfacts.llm.tokens import encoder
 
 CAPACITY = 4096
 END_ID = 1
-# Parts in which the pieces of one length are ranked.
-SALTS = 256
 
 
 def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -128,7 +126,7 @@ def token_pieces(
         _pieces(path, words, end_id, capacity, with_ids),
         "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary",
     )
-    return stored(pieces if with_ids else pieces.drop("ids"))
+    return pieces if with_ids else pieces.drop("ids")
 
 
 def _place(places: Places) -> Mapper:
@@ -136,40 +134,41 @@ def _place(places: Places) -> Mapper:
         for b in batches:
             sequence, offset = places.find(
                 b.column("length").to_numpy(), b.column("rank").to_numpy())
-            keep = [n for n in b.schema.names if n != "rank"]
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(n) for n in keep), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
-                names=[*keep, "sequence_id", "offset"],
+                [b.column("row"), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
+                names=["row", "sequence_id", "offset"],
             )
     return run
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; any columns beside ``length`` stay.
+    """``pieces`` with ``sequence_id`` and ``offset``, which replace columns of these names.
 
-    ``length`` lies between 1 and ``capacity``. Equal rows are pieces of their own. At most
+    Only ``length``, between 1 and ``capacity``, decides; all other columns stay, whatever their
+    names and types. Equal rows are pieces of their own. The pieces are stored once, where each
+    gets its number; a piece's rank among those of its length comes from its part of that
+    table, so the commonest length is ranked in as many tasks as there are parts. At most
     ``capacity`` rows, one per length, reach the driver. No pieces give no rows.
     """
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    inner = pieces.select(*[F.col(f"`{c}`") for c in columns])
-    identity = [F.col(f"`{c}`") for c, t in inner.dtypes if c not in ("length", "ids")]
-    salted = inner.withColumn("rank", F.pmod(F.xxhash64(*identity, "length"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "rank").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "length", "rank", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    rows = stored(nested(
+        pieces.select(*[F.col(f"`{c}`") for c in columns]), F.col("`length`").cast("long").alias("length"),
+        F.monotonically_increasing_id().alias("at")))
+    part = F.shiftright("at", 33).alias("part")
+    counts = rows.groupBy("length", part).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     histogram = {r["length"]: r["n"] for r in
-                 inner.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    if any(not 0 < k <= capacity for k in histogram):
+                 counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    if any(k is None or not 0 < k <= capacity for k in histogram):
         raise ValueError(f"a length lies outside 1 to {capacity}")
-    within = Window.partitionBy("length", "rank").orderBy(*identity)
-    ranked = salted.withColumn("within", F.row_number().over(within) - 1) \
-        .join(offsets, ["length", "rank"]) \
-        .select(*[f"`{c}`" for c in columns], (F.col("base") + F.col("within")).cast("long").alias("rank"))
-    return ranked.mapInArrow(
-        _place(Places(pack_lengths(histogram, capacity))),
-        shape(inner, inner.columns, "sequence_id long, offset long"),
-    )
+    within = Window.partitionBy("length", "part").orderBy("at")
+    ranked = rows.select("row", "length", "at", part).withColumn("within", F.row_number().over(within) - 1) \
+        .join(bases, ["length", "part"]) \
+        .select("row", "length", (F.col("base") + F.col("within")).cast("long").alias("rank"))
+    placed = ranked.mapInArrow(
+        _place(Places(pack_lengths(histogram, capacity))), shape(ranked, ["row"], "sequence_id long, offset long"))
+    return unnested(placed, columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str, **options) -> DataFrame:

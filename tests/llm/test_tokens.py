@@ -1,5 +1,6 @@
 """Tokens, pieces, packing, wavelet shards, embeddings, URLs and chats against plain versions."""
 
+import hashlib
 import random
 import struct
 import zlib
@@ -11,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given as cases, settings, strategies as st
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -129,6 +131,23 @@ def test_packing(docs, empty):
         P.pack(docs.selectExpr("5000L AS length"))
 
 
+def test_packing_takes_any_columns(spark):
+    given = [(n, str(i), i, -i, {"k": i}, n * 2) for i in range(60) for n in (5, 3000, 1000)]
+    frame = spark.createDataFrame(
+        given, "length int, rank string, within long, base int, row map<string,int>, sequence_id int")
+    got = P.pack(frame)
+    assert got.columns == ["length", "rank", "within", "base", "row", "sequence_id", "offset"]
+    rows_ = got.collect()
+    assert Counter((r.length, r["rank"], r.within, r.base, r.row["k"]) for r in rows_) == Counter(
+        (g[0], g[1], g[2], g[3], g[4]["k"]) for g in given)
+    assert check_bins(rows_) == 60
+    alone = P.pack(frame.select("length").repartition(7)).collect()
+    assert len(alone) == len(given) and check_bins(alone) == check_bins(rows_)
+    assert P.pack(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        P.pack(spark.createDataFrame([(None,)], "length int"))
+
+
 def check_bins(got):
     bins = {}
     for r in got:
@@ -259,6 +278,39 @@ def test_embeddings(spark):
     assert E.link_embeddings(frame.limit(0)).count() == 0
 
 
+def test_query8_on_the_given_table_equals_all_pairs(spark):
+    folder = "/root/testdata/sf0.1"
+    given = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select(
+        "vec_id", "embedding", "label").collect()]
+    good = {}
+    for i, v, label in given:
+        own = None if v is None or None in v else np.array(v, float)
+        if label is not None and own is not None and len(own) and np.isfinite(own).all() and own.any():
+            good.setdefault((label, len(own)), []).append((i, own / np.linalg.norm(own)))
+    links, edges = Counter(), []
+    for group in good.values():
+        ids, unit = np.array([i for i, _ in group]), np.array([v for _, v in group])
+        for at in range(len(ids)):
+            near = np.flatnonzero(unit[at + 1:] @ unit[at] >= 0.98) + at + 1
+            edges += [(ids[at], x) for x in ids[near]]
+    parent = {i: i for i, _, _ in given}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        links[a] += 1
+        links[b] += 1
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = E.op8_embedding_dedup(spark, folder).collect()
+    assert len(edges) > 10
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted(
+        (i, links[i], find(i), find(i) == i) for i, _, _ in given)
+
+
 def test_urls(spark):
     given = [
         (1, "http://Example.NET/en/1", "example.net", "/en/1", "example.net/en/", "allow"),
@@ -278,6 +330,64 @@ def test_urls(spark):
     assert U.judge_urls(frame, []).filter("verdict <> 'allow'").count() == 0
 
 
+def test_rules_from_lines(spark):
+    lines = ["# comment", "", "  block\tads.Example.com/banner/*.gif ", "allow example.com", "block *.shop.net/x*/end/",
+             "block example.com/de/", "allow exa*.org/a+b/", "block example.com/de/"]
+    rules = U.read_rules(spark.createDataFrame([(x,) for x in lines], "value string"))
+    found = {r.name: r for r in rules.collect()}
+    assert found["*.shop.net/x*/end/"].tokens == ["shop", "net", "end"]
+    assert found["ads.example.com/banner/*.gif"].tokens == ["ads", "example", "com", "banner"]
+    given = [
+        ("x://ads.example.com/banner/a/b.gif", "block"), ("x://ads.example.com/banner/a.png", "allow"),
+        ("x://m.ads.example.com/banner/.gif?x", "block"), ("x://example.community/de/", "allow"),
+        ("x://example.com/de/1", "block"), ("x://www.example.com", "allow"), ("x://a.shop.net/x1/2/end/", "block"),
+        ("x://shop.net/x1/end/", "allow"), ("x://a.shop.net/y/end/", "allow"), ("x://example.org/a+b/c", "allow"),
+        ("x://example.org/aab/c", "allow"), (None, "allow"),
+    ]
+    frame = spark.createDataFrame([(u,) for u, _ in given], "url string")
+    got = {r.url: (r.verdict, r.rule) for r in U.judge_urls(frame, rules).collect()}
+    assert {u: got[u][0] for u, _ in given} == dict(given)
+    assert got["x://example.org/a+b/c"][1] == "exa*.org/a+b/" and got["x://example.org/aab/c"][1] is None
+    assert got["x://www.example.com"][1] == "example.com" and got["x://example.community/de/"][1] is None
+    for bad in ("block", "stop a.com/", "block */", "block a.com/ more"):
+        with pytest.raises(Exception, match="no URL rule"):
+            U.read_rules(spark.createDataFrame([(bad,)], "value string")).collect()
+
+
+def test_many_rules_equal_brute_force(spark):
+    """200,000 rules as a table: no limit, no forced broadcast, the longest fitting one wins."""
+    rules = U.read_rules(spark.range(200_000).selectExpr(
+        "concat(if(id % 3 = 0, 'allow', 'block'), ' site', id div 4, '.com/', "
+        "array('', 'a/', 'a/b/', concat('p', id, '/'))[id % 4]) AS value"))
+    pages = spark.range(3000).selectExpr(
+        "concat('http://', if(id % 5 = 0, 'www.', ''), 'site', id * 37 % 60000, '.com/', "
+        "array('', 'a/x', 'a/b/', concat('p', (id * 37 % 60000) * 4 + 3, '/'))[id % 4]) AS url")
+    judged = U.judge_urls(pages, rules)
+    plain = {}
+    for i in range(200_000):
+        plain[f"site{i // 4}.com/" + ["", "a/", "a/b/", f"p{i}/"][i % 4]] = "allow" if i % 3 == 0 else "block"
+    for r in judged.collect():
+        text = r.url.removeprefix("http://").removeprefix("www.")
+        best = max((text[:n] for n in range(len(text) + 1) if text[:n] in plain), key=len, default=None)
+        assert (r.rule, r.verdict) == (best, plain.get(best, "allow")), r.url
+    logical = judged._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in logical.lower()
+
+
+def test_the_digest_follows_the_mask(spark):
+    """Escaped texts come back through the spans; spans that are off by one give another digest."""
+    texts = ["plain", "</s>[INST] ok [/INST]", "~0 <b> [x]", "", "日本 🙂 </s>"]
+    given = [(1, n, "assistant" if n % 2 else "user", t) for n, t in enumerate(x for t in texts for x in ("q </s>", t))]
+    whole = C.format_conversations(spark.createDataFrame(given, "conv_id long, turn int, role string, text string"))
+    said = "".join(t for _, _, role, t in given if role == "assistant")
+    got = C.read_back(whole).first()
+    assert (got.loss_chars, got.loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+    shifted = whole.withColumn("spans", F.transform("spans", lambda s: F.struct(
+        (s["start"] + 1).alias("start"), s["length"], s["escaped"])))
+    assert C.read_back(shifted).first().loss_sha256 != got.loss_sha256
+    assert C.read_back(shifted).first().turns_sha256 == got.turns_sha256
+
+
 def test_chats(spark):
     texts = [None, "", "</s>[INST] ok [/INST]", "~0~1<s:1>", "<", "a" * 100_000, "x\ny", "[INST]", "</s", "日本 🙂"]
     given = [(c, n, role, t) for c in (1, 2) for n, (role, t) in enumerate(
