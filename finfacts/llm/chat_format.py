@@ -90,18 +90,17 @@ def parse(formatted: Column) -> Column:
 
 
 def loss_spans(formatted: Column) -> Column:
-    """Start (from 0) and length, in code points, of each body under the loss."""
+    """Start (from 0) and length, in code points, of each body under the loss, and if it is escaped."""
     sizes = F.transform(_pieces(formatted), lambda p: F.struct(
         _piece_head(p).cast("long").alias("head"), F.length(p).cast("long").alias("size"),
-        (_piece_role(p) == LOSS_ROLE).alias("loss"),
+        (_piece_role(p) == LOSS_ROLE).alias("loss"), _piece_escaped(p).alias("escaped"),
     ))
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")
-    )
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(
+        "array<struct<start:bigint,length:bigint,escaped:boolean>>").alias("spans"))
     step = lambda acc, p: F.struct(
         (acc["at"] + p["size"] + len(END)).alias("at"),
         F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + p["head"]).alias("start"), (p["size"] - p["head"]).alias("length")
+            (acc["at"] + p["head"]).alias("start"), (p["size"] - p["head"]).alias("length"), p["escaped"],
         )))).otherwise(acc["spans"]).alias("spans"),
     )
     return F.aggregate(sizes, start, step, lambda acc: acc["spans"])
@@ -132,10 +131,14 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Turns, their digest and the loss text, from the formatted text alone."""
+    """Turns and their digest, parsed from ``formatted``, and the text that ``spans`` cuts from it.
+
+    The loss text is what a trainer sees under the mask, unescaped; it shows a mask that is wrong.
+    """
     turns = formatted.select("*", parse(F.col("formatted")).alias("turns"))
-    said = F.filter("turns", lambda t: t["role"] == LOSS_ROLE)
-    loss = F.array_join(F.transform(said, lambda t: t["text"]), "")
+    cut = lambda s: F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))
+    loss = F.array_join(F.transform(
+        "spans", lambda s: F.when(s["escaped"], _unescape(cut(s))).otherwise(cut(s))), "")
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return turns.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
