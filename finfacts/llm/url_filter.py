@@ -3,8 +3,8 @@
 Only DataFrame functions. A rule names whole literal tokens that every matching URL
 holds; it is filed under the one that the fewest URLs hold. The tokens of the distinct
 URLs fetch the candidate rules by an equi-join, only those run their regular
-expression, and the first rule by rank wins. The rules are a parameter and may be
-joined in any way Spark picks; no size is assumed.
+expression, and the first rule by rank wins. Rules are a list or a table of any size, read
+from lines of text with hosts, paths and wildcards; Spark picks every join.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from finfacts.llm.common import table
+from finfacts.llm.common import stored, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,35 +96,72 @@ def _tokens(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(lowered, "[^a-z0-9]+"), lambda t: t != ""))
 
 
-def _indexed(spark: SparkSession, rules: Sequence[UrlRule], tokens: DataFrame) -> DataFrame:
+RULE_FIELDS = "name string, verdict string, pattern string, tokens array<string>, rank int, named boolean"
+
+
+def rules_table(spark: SparkSession, rules: Sequence[UrlRule]) -> DataFrame:
+    """Listed rules as a table."""
+    return spark.createDataFrame([(*r[:3], list(r.tokens), *r[4:]) for r in rules], RULE_FIELDS)
+
+
+def read_rules(lines: DataFrame, column: str = "value") -> DataFrame:
+    """A table of rules out of lines like ``block ads.example.com/banner/*.gif``.
+
+    A line is a verdict, white space, a host and, from the first slash on, a path; a rule fits
+    its host and all subdomains, and paths that start with its own (all without one). ``*`` stands for
+    anything, in a host for anything but a slash. Longer rules win, each counted in its code
+    points. Empty lines and those that begin with ``#`` are left out. Hosts are matched in
+    lower case. A line of another form, or one in which no whole word is literal, is an error.
+    """
+    line = F.trim(F.regexp_replace(F.col(f"`{column}`"), r"\s+", " "))
+    parts = lines.filter((line != "") & ~F.startswith(line, F.lit("#"))).select(
+        line.alias("line"), F.split(line, " ").alias("p"))
+    named = parts.select("line", F.col("p")[0].alias("verdict"), F.get("p", F.lit(1)).alias("given"),
+                         F.size("p").alias("n"))
+    split = named.select(
+        "line", "verdict", "n", F.translate(F.regexp_extract("given", "^([^/]*)", 1), UPPER, LOWER).alias("host"),
+        F.regexp_extract("given", "^[^/]*(.*)$", 1).alias("path"))
+    name = F.concat("host", "path")
+    literal = lambda text: F.regexp_replace(text, r"([\\.\[\]{}()+?^$|-])", r"\\$1")
+    pattern = F.concat(
+        F.lit(r"(?s)^(?:[^/]*\.)?"), F.replace(literal(F.col("host")), F.lit("*"), F.lit("[^/]*")),
+        F.when(F.col("path") == "", F.lit("(?:/|$)")).otherwise(
+            F.replace(literal(F.col("path")), F.lit("*"), F.lit(".*"))))
+    # The last word of a path may go on in the URL, and words beside a wildcard may too.
+    whole = F.when(F.endswith("path", F.lit("/")), F.col("path")).otherwise(
+        F.regexp_extract("path", "^(.*/)", 1))
+    words = F.split(F.translate(F.concat("host", F.lit("/"), whole), UPPER, LOWER), "[^a-z0-9*]+")
+    tokens = F.array_distinct(F.filter(words, lambda t: (t != "") & ~F.contains(t, F.lit("*"))))
+    fits = (F.col("n") == 2) & F.col("verdict").isin("allow", "block") & (F.size(tokens) > 0)
+    checked = split.filter(F.when(fits, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("no URL rule: "), "line")).cast("boolean")))
+    return checked.select(
+        name.alias("name"), "verdict", pattern.alias("pattern"), tokens.alias("tokens"),
+        (F.lit(1000) + F.length(name)).cast("int").alias("rank"), F.lit(True).alias("named"))
+
+
+def _indexed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
     """Every rule under its token that the fewest URLs hold, ties by the token."""
-    # A rule's place in the list is only an id; equal rules may repeat.
-    fields = "id int, name string, verdict string, pattern string, tokens array<string>, rank int, named boolean"
-    given = spark.createDataFrame(
-        [(i, r.name, r.verdict, r.pattern, list(r.tokens), r.rank, r.named) for i, r in enumerate(rules)],
-        fields,
-    )
-    wanted = given.select("id", F.explode("tokens").alias("token"))
-    counts = tokens.join(F.broadcast(wanted.select("token").distinct()), "token", "left_semi") \
-        .groupBy("token").agg(F.count("*").alias("n"))
-    rarest = wanted.join(counts, "token", "left").groupBy("id").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)), "token")).getField("token").alias("token")
-    )
-    return given.drop("tokens").join(rarest, "id").drop("id")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    held = rules.select("*", F.explode("tokens").alias("token")).join(counts, "token", "left")
+    fields = [c for c in rules.columns if c != "tokens"]
+    # Equal rules are one.
+    return held.groupBy(*fields).agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)), "token")).getField("token").alias("token"))
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[UrlRule] = RULES, default: str = "allow", url: str = "url"
+    pages: DataFrame, rules: Sequence[UrlRule] | DataFrame = RULES, default: str = "allow", url: str = "url"
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``.
 
-    ``rule`` is null where no named rule fits. A null, empty or malformed URL has an
+    ``rules`` is a list, or a table as of ``read_rules``; of two rules with one rank the later
+    name wins, then the later verdict. ``rule`` is null where no named rule fits. A null, empty or malformed URL has an
     empty host and path and gets the default verdict, equal URLs the same verdict.
-    Input columns with the names of the four results are replaced.
+    Input columns with the names of the four results are replaced. The tokens of URLs that
+    any rule asks for are stored once.
     """
-    if len(rules) > 100_000:
-        raise ValueError("at most 100,000 rules: they are broadcast to count their tokens")
-    spark = pages.sparkSession
+    given = rules if isinstance(rules, DataFrame) else rules_table(pages.sparkSession, rules)
     added = ("host", "path", "rule", "verdict")
     host, path = url_parts(F.col(f"`{url}`"))
     split = pages.select(
@@ -135,10 +172,12 @@ def judge_urls(
     tokens = places.select(
         "host", "path", F.explode(_tokens(F.concat("host", F.lit("/"), "path"))).alias("token")
     )
-    index = _indexed(spark, rules, tokens)
+    wanted = given.select(F.explode("tokens").alias("token")).distinct()
+    tokens = stored(tokens.join(wanted, "token", "left_semi"))
+    index = _indexed(given, tokens)
     fits = tokens.join(index, "token").filter(F.expr("concat(host, path) rlike pattern"))
     best = fits.groupBy("host", "path").agg(
-        F.max_by(F.struct("name", "verdict", "named"), F.struct("rank", "name")).alias("best")
+        F.max_by(F.struct("name", "verdict", "named"), F.struct("rank", "name", "verdict")).alias("best")
     )
     judged = split.join(best, ["host", "path"], "left")
     kept = [F.col("row").getField(c).alias(c) for c in pages.columns if c not in added]
