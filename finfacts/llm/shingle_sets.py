@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from finfacts.llm.common import Batches, Mapper, content_key, stored, texts
+from finfacts.llm.common import Batches, Mapper, batch, content_key, partitions, stored, texts
 from finfacts.llm.components import connected_components
 
 # Bands of a point, and minimum hashes that must agree in one.
@@ -26,6 +26,8 @@ ROWS = 4
 # Points of a bucket that are joined with each other at once.
 BLOCK = 512
 HASHES_AT_ONCE = 1024
+# Partners of a hub that one task compares it with.
+PARTNERS = 64
 # Bits of a set's bitmap.
 BITS = 1024
 
@@ -97,21 +99,43 @@ def _hashes(size: int) -> Mapper:
 
 
 def _decide(min_similarity: float) -> Mapper:
-    """The pairs whose sets are similar enough."""
+    """The pairs whose sets are similar enough; rows come sorted, a hub before its partners."""
     def run(batches: Batches) -> Batches:
+        hub, own = None, None
         for b in batches:
-            sets = zip(b.column("x"), b.column("y"))
-            alike = [jaccard(*(np.frombuffer(s.as_buffer(), np.uint64) for s in pair)) >= min_similarity
-                     for pair in sets]
-            yield b.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+            ends, sets = [], b.column("hashes")
+            for i, (of, point) in enumerate(zip(b.column("hub").to_pylist(), b.column("fp").to_pylist())):
+                held = np.frombuffer(sets[i].as_buffer(), np.uint64)
+                if of == point:
+                    # A copy, so that the batch can go.
+                    hub, own = point, held.copy()
+                elif jaccard(own, held) >= min_similarity:
+                    ends.append((min(hub, point), max(hub, point)))
+            yield batch(a=([x for x, _ in ends], pa.int64()), b=([y for _, y in ends], pa.int64()))
     return run
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
-    """The links among the proposed pairs (a, b), by their sets (fp, hashes)."""
-    with_x = pairs.join(sets.toDF("a", "x"), "a")
-    return with_x.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
-        _decide(min_similarity), "a long, b long")
+    """The links among the proposed pairs (a, b, each once), by their sets (fp, hashes).
+
+    The end with more pairs is the hub; its partners are cut into blocks, and its own set
+    goes once to each block.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp"))
+    degrees = ends.groupBy("fp").agg(F.count("*").alias("n"))
+    of = lambda end: degrees.select(F.col("fp").alias(end), F.col("n").alias(f"n{end}"))
+    met = pairs.join(of("a"), "a").join(of("b"), "b")
+    first = F.struct("na", "a") > F.struct(F.col("nb").alias("na"), F.col("b").alias("a"))
+    hubs = met.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("fp"), F.greatest("na", "nb").alias("n"))
+    placed = stored(hubs.select("hub", "fp", F.pmod(
+        F.xxhash64("fp"), F.ceil(F.col("n") / PARTNERS).cast("long")).alias("block")))
+    own = placed.select("hub", "block").distinct().withColumn("fp", F.col("hub"))
+    rows = placed.unionByName(own).join(sets, "fp")
+    dealt = rows.repartition(partitions(pairs.sparkSession), "hub", "block").sortWithinPartitions(
+        "hub", "block", F.col("fp") != F.col("hub"))
+    return dealt.mapInArrow(_decide(min_similarity), "a long, b long")
 
 
 def _may_link(x: str, y: str, min_similarity: float) -> Column:

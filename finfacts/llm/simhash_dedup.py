@@ -2,14 +2,12 @@
 
 Texts become 64-bit fingerprints. A bounded sample of the distinct fingerprints gives
 the upper part of a vantage-point tree, whose leaves are shards. A fingerprint is at home
-in one shard and visits every other shard that the triangle inequality cannot rule out
-within the radius; each shard grows its own tree below that and searches it in blocks.
-A shard reports a spanning forest of its links, not the pairs, and the forests are joined
-into components by rounds of distributed star contraction.
-
-With a minimum similarity, fingerprints only propose: a pair links if its one-permutation
-sketches agree too, and fingerprints are kept apart by the size of their texts, as sets of
-such similarity differ by a bounded ratio in size.
+in one shard and visits every earlier shard that the triangle inequality cannot rule out
+within the radius. A shard's points at home and its visitors are cut into blocks of bounded
+size; every block at home meets every block of either kind in a task of its own, which
+grows a tree below that and searches it. It reports a spanning forest of its links, not
+the pairs, and the forests are joined into components by rounds of distributed star
+contraction.
 """
 
 from __future__ import annotations
@@ -22,18 +20,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xxhash import xxh64_intdigest
 
-from finfacts.llm.common import Batches, Mapper, content_key, stored, table, texts
+from finfacts.llm.common import Batches, Mapper, content_key, nested, stored, table, texts, unnested
 from finfacts.llm.components import connected_components
 from finfacts.llm.shingle_sets import similar_components
 
 SEED = 42
-# Fingerprints in a shard, and in a leaf that is searched without further splits.
+# Fingerprints at home in a shard, points of a block, and points that are searched without further splits.
 SHARD = 20_000
+BLOCK = 4_096
 LEAF = 128
-# Bound of the driver's sample, and of the depth of the tree it gives.
-SAMPLE = 65_536
-MAX_DEPTH = 12
-SKETCH = 128
+# Bound of the driver's sample, of which each shard of the tree it gives needs some.
+SAMPLE = 1 << 20
+SAMPLED = 64
 HASHES_AT_ONCE = 1 << 18
 
 
@@ -49,36 +47,24 @@ def shingle_hashes(text: bytes, size: int):
         yield np.fromiter(map(xxh64_intdigest, joined, repeat(SEED)), np.uint64, count)
 
 
-def fingerprint(text: bytes, size: int, sketch: bool = False) -> tuple[int, int, bytes]:
-    """The fingerprint, the number of shingles, and the sketch of the shingle set if asked for."""
-    ones, total, low = np.zeros(64, np.int64), 0, []
+def fingerprint(text: bytes, size: int) -> int:
+    """The fingerprint as a signed number; zero without words."""
+    ones, total = np.zeros(64, np.int64), 0
     for h in shingle_hashes(text, size):
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         total += len(h)
-        if sketch:
-            ranked = np.sort(((h & np.uint64(SKETCH - 1)) << np.uint64(57)) | (h >> np.uint64(7)))
-            first = np.append(True, ranked[1:] >> np.uint64(57) != ranked[:-1] >> np.uint64(57))
-            low.append(ranked[first])
     packed = np.packbits(2 * ones > total, bitorder="little").tobytes()
-    own = b""
-    if sketch:
-        cells = np.zeros(SKETCH, np.uint8)
-        ranked = np.sort(np.concatenate(low or [np.zeros(0, np.uint64)]))[::-1]
-        cells[(ranked >> np.uint64(57)).astype(int)] = (
-            (ranked & np.uint64((1 << 57) - 1)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-        own = cells.tobytes()
-    return int.from_bytes(packed, "little", signed=True), total, own
+    return int.from_bytes(packed, "little", signed=True)
 
 
-def _fingerprints(size: int, sketch: bool) -> Mapper:
+def _fingerprints(size: int) -> Mapper:
     def run(batches: Batches) -> Batches:
         for b in batches:
-            got = list(zip(*(fingerprint(t, size, sketch) for t in texts(b.column("text"))))) or [()] * 3
+            own = [fingerprint(t, size) for t in texts(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("k1"), b.column("k2"), b.column("doc_id"), pa.array(got[0], pa.int64()),
-                 pa.array(got[1], pa.int64()), pa.array(got[2], pa.binary())],
-                names=["k1", "k2", "doc_id", "fp", "size", "sketch"],
+                [b.column("k1"), b.column("k2"), b.column("doc_id"), pa.array(own, pa.int64())],
+                names=["k1", "k2", "doc_id", "fp"],
             )
     return run
 
@@ -125,30 +111,22 @@ class Tree:
         return at, node
 
 
-def _route(tree: Tree, depths: dict[int, int], radius: int) -> Mapper:
-    """A row at home, and one for every shard visited: earlier shards of the band, all of the next."""
+def _route(tree: Tree, depth: int, radius: int) -> Mapper:
+    """A row at home, and one for every earlier shard visited."""
     def run(batches: Batches) -> Batches:
         for b in batches:
             fps = b.column("fp").to_numpy().view(np.uint64)
-            bands = b.column("band").to_numpy()
-            for band in np.unique(bands).tolist():
-                own = np.flatnonzero(bands == band)
-                home = tree.home(fps[own], depths[band])
-                at, node = tree.visits(fps[own], depths[band], radius)
-                earlier = node < home[at]
-                parts = [(own, np.full(len(own), band), home, True),
-                         (own[at[earlier]], np.full(earlier.sum(), band), node[earlier], False)]
-                if band + 1 in depths:
-                    at, node = tree.visits(fps[own], depths[band + 1], radius)
-                    parts.append((own[at], np.full(len(at), band + 1), node, False))
-                for rows, bands_to, shard, is_home in parts:
-                    taken = pa.array(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(bands_to, pa.int32()), pa.array(shard, pa.int32()),
-                         b.column("fp").take(taken), b.column("sketch").take(taken),
-                         pa.array(np.full(len(rows), is_home), pa.bool_())],
-                        names=["band", "shard", "fp", "sketch", "home"],
-                    )
+            home = tree.home(fps, depth)
+            at, node = tree.visits(fps, depth, radius)
+            earlier = node < home[at]
+            for rows, shard, is_home in (
+                (np.arange(len(fps)), home, True), (at[earlier], node[earlier], False),
+            ):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), b.column("fp").take(pa.array(rows)),
+                     pa.array(np.full(len(rows), is_home), pa.bool_())],
+                    names=["shard", "fp", "home"],
+                )
     return run
 
 
@@ -166,9 +144,6 @@ class _Forest:
                 return up
             up = more
 
-    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return self.roots(i) != self.roots(j)
-
     def link(self, i: np.ndarray, j: np.ndarray) -> None:
         pairs = np.unique(np.stack([self.roots(i), self.roots(j)], 1), axis=0)
         for a, b in pairs.tolist():
@@ -180,13 +155,6 @@ class _Forest:
                 self.parent[max(a, b)] = min(a, b)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of the sets behind two arrays of sketches."""
-    filled = (a > 0) | (b > 0)
-    equal = (a == b) & filled
-    return equal.sum(axis=1) / np.maximum(filled.sum(axis=1), 1)
-
-
 def search(fps: np.ndarray, home: np.ndarray, radius: int, found) -> None:
     """Call ``found(i, j)`` with all places of pairs within the radius, one of them at home."""
     def split(points: np.ndarray, queries: np.ndarray) -> None:
@@ -219,56 +187,50 @@ def search(fps: np.ndarray, home: np.ndarray, radius: int, found) -> None:
     split(np.flatnonzero(home), np.arange(len(fps)))
 
 
-def _shard_links(radius: int, min_similarity: float | None):
-    def run(shard: pa.Table) -> pa.Table:
-        signed = shard.column("fp").to_numpy()
-        fps = signed.view(np.uint64)
-        home = shard.column("home").to_numpy(zero_copy_only=False)
+def _block_links(radius: int):
+    """Links of a block at home with itself, or with the other block that it meets."""
+    def run(key: tuple, met: pa.Table) -> pa.Table:
+        signed = met.column("fp").to_numpy()
+        fps, first = signed.view(np.uint64), met.column("first").to_numpy(zero_copy_only=False)
         forest = _Forest(len(fps))
-        if min_similarity is not None:
-            joined = b"".join(shard.column("sketch").to_pylist())
-            sketches = np.frombuffer(joined, np.uint8).reshape(-1, SKETCH)
 
         def found(i: np.ndarray, j: np.ndarray) -> None:
             for a in range(0, len(i), 20_000):
-                x, y = i[a:a + 20_000], j[a:a + 20_000]
-                new = forest.apart(x, y)
-                x, y = x[new], y[new]
-                if len(x) and min_similarity is not None:
-                    alike = similarity(sketches[x], sketches[y]) >= min_similarity
-                    x, y = x[alike], y[alike]
-                if len(x):
-                    forest.link(x, y)
-
-        search(fps, home, radius, found)
+                forest.link(i[a:a + 20_000], j[a:a + 20_000])
+
+        # Two blocks look for pairs across only; the first one is the tree.
+        search(fps, first, radius, found)
         root = forest.roots(np.arange(len(fps)))
         linked = np.flatnonzero(root != np.arange(len(fps)))
         return pa.table({"a": signed[linked], "b": signed[root[linked]]})
     return run
 
 
-def fingerprint_links(
-    points: DataFrame, radius: int, min_similarity: float | None = None
-) -> DataFrame:
-    """A spanning set of links between the distinct fingerprints in ``points`` (fp, size, sketch)."""
-    ratio = 0 if min_similarity is None else -math.log(min_similarity)
-    band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / ratio).cast("int") if ratio \
-        else F.lit(0)
-    banded = points.select("fp", "sketch", band.alias("band"))
-    counts = {r["band"]: r["n"] for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
-    depths = {
-        k: min(MAX_DEPTH, max(0, math.ceil(math.log2(n / SHARD)))) for k, n in counts.items()
-    }
-    depth = max(depths.values(), default=0)
-    size = min(SAMPLE, 64 << depth)
-    sample = banded.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"]
+def fingerprint_links(points: DataFrame, radius: int) -> DataFrame:
+    """A spanning set of links between the distinct fingerprints in ``points`` (fp)."""
+    n = points.count()
+    depth = min(max(0, math.ceil(math.log2(max(n, 1) / SHARD))), int(math.log2(SAMPLE // SAMPLED)))
+    sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLED << depth).toPandas()["fp"]
     tree = Tree(sample.to_numpy(dtype=np.int64).view(np.uint64), depth)
-    routed = banded.mapInArrow(
-        _route(tree, depths, radius), "band int, shard int, fp long, sketch binary, home boolean"
-    )
-    return routed.groupBy("band", "shard").applyInArrow(
-        _shard_links(radius, min_similarity), "a long, b long"
-    )
+    routed = stored(points.select("fp").mapInArrow(
+        _route(tree, depth, radius), "shard int, fp long, home boolean"))
+    # Two numbers a shard, of which there are few; a block holds a hashed share of them.
+    sizes = routed.groupBy("shard").agg(*[
+        F.greatest(F.ceil(F.count_if(c) / BLOCK).cast("int"), F.lit(1)).alias(name)
+        for name, c in (("homes", F.col("home")), ("guests", ~F.col("home")))])
+    own = routed.join(F.broadcast(sizes), "shard").withColumn("block", F.pmod(
+        F.xxhash64("fp"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
+    # A block at home meets itself, the later blocks at home and all blocks of visitors.
+    as_first = F.transform(F.sequence(F.lit(0), F.col("homes") - 1 + F.col("guests")), lambda i: F.struct(
+        F.col("block").alias("left"), i.alias("right"), F.lit(True).alias("first")))
+    as_second = F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda i: F.struct(
+        i.alias("left"), (F.col("block") + F.when(F.col("home"), 0).otherwise(F.col("homes"))).alias("right"),
+        F.lit(False).alias("first")))
+    meets = F.when(F.col("home"), F.concat(
+        F.filter(as_first, lambda m: m["right"] >= F.col("block")),
+        F.filter(as_second, lambda m: m["left"] < F.col("block")))).otherwise(as_second)
+    met = own.select("shard", "fp", F.inline(meets))
+    return met.groupBy("shard", "left", "right").applyInArrow(_block_links(radius), "a long, b long")
 
 
 def near_components(
@@ -281,7 +243,7 @@ def near_components(
     shingle. With a minimum similarity, texts link if the Jaccard similarity of their
     shingle sets reaches it, ``fp`` stands for the set and ``radius`` plays no part.
     Without one, they link if their fingerprints differ in at most ``radius`` bits; a
-    text without words has fingerprint zero. Equal ``fp`` always link.
+    text without words has fingerprint zero. Equal ``fp`` always link. Ids are integers.
     """
     if min_similarity is not None:
         return similar_components(docs, size, min_similarity, id_column)
@@ -289,15 +251,11 @@ def near_components(
     keyed = docs.select(F.col("`text`").cast("binary").alias("text"), k1, k2,
                         F.col(f"`{id_column}`").cast("long").alias("doc_id"))
     prints = stored(keyed.mapInArrow(
-        _fingerprints(size, min_similarity is not None),
-        "k1 long, k2 long, doc_id long, fp long, size long, sketch binary",
-    ))
-    # One size and sketch stand for all texts of a fingerprint.
-    chosen = F.min(F.struct("size", "sketch")).alias("x")
-    points = stored(prints.groupBy("fp").agg(chosen).select("fp", "x.size", "x.sketch"))
-    parts = connected_components(fingerprint_links(points, radius, min_similarity))
+        _fingerprints(size), "k1 long, k2 long, doc_id long, fp long"))
+    points = stored(prints.select("fp").distinct())
+    parts = connected_components(fingerprint_links(points, radius))
     labels = parts.select(F.col("node").alias("fp"), "component")
-    return prints.drop("size", "sketch").join(labels, "fp", "left").withColumn(
+    return prints.join(labels, "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
 
@@ -310,20 +268,19 @@ def hex_fingerprint(fp: Column) -> Column:
 def dedup_near(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of every group of near copies: the smallest id (nulls last).
 
-    Options are those of ``near_components``. Equal rows count as one. A null text has no
-    words; all texts without words are one group. An empty table gives an empty table.
+    Options are those of ``near_components``. Of rows with equal id and text the first by a
+    hash of their columns stays. A null text has no words; all texts without words are one
+    group. An empty table gives an empty table.
     """
     members = near_components(docs, id_column=id_column, **options)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
     winners = members.groupBy("component").agg(F.min(order).alias("w")).select("w.k1", "w.k2")
-    names = {"k1": "k1 of winner", "k2": "k2 of winner"}
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[
-        key.alias(n) for key, n in zip(
-            content_key(F.col(f"`{id_column}`"), F.col("`text`")), names.values()
-        )
-    ])
-    keep = keyed.join(winners.withColumnsRenamed(names), list(names.values()), "left_semi")
-    return keep.dropDuplicates(list(names.values())).drop(*names.values())
+    key = content_key(F.col(f"`{id_column}`"), F.col("`text`"))
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = nested(docs, *key, F.xxhash64(*plain).alias("order"))
+    keep = rows.join(winners, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(
+        F.min_by("row", "order").alias("row"))
+    return unnested(keep, docs.columns)
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,5 +98,20 @@ def test_equal_fingerprints_of_different_texts_stay_apart(spark):
     """A line that makes up most of a text sets its fingerprint, and little of its set."""
     line = " ".join(["same"] * 400)
     texts = [f"{line} " + " ".join(f"d{k}w{i}" for i in range(100)) for k in range(6)]
-    assert len({S.fingerprint(t.encode(), 5)[0] for t in texts}) == 1
+    assert len({S.fingerprint(t.encode(), 5) for t in texts}) == 1
     assert members(spark, texts) == list(range(6))
+
+
+def test_a_hub_is_carried_once_per_block(spark, monkeypatch):
+    """Of 300 near copies every set goes along once, that of the hub once for each block of partners."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(300)]
+    met = []
+    monkeypatch.setattr(X, "stored", lambda df, keep=X.stored: met.append(keep(df)) or met[-1])
+    assert members(spark, texts) == [0] * 300
+    placed = next(df for df in met if "hub" in df.columns)
+    pairs, blocks = placed.count(), placed.select("hub", "block").distinct().count()
+    hubs = placed.groupBy("hub").count().agg({"count": "max"}).first()[0]
+    assert pairs < 2 * len(texts) and hubs > 200
+    assert blocks <= pairs / X.PARTNERS * 2 + placed.select("hub").distinct().count()

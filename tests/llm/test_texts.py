@@ -159,9 +159,10 @@ def plain_components(points, near):
     return [find(i) for i in range(len(points))]
 
 
-@pytest.mark.parametrize("shard", [S.SHARD, 20])
-def test_query5_against_plain(spark, monkeypatch, shard):
+@pytest.mark.parametrize("shard, block", [(S.SHARD, S.BLOCK), (20, 5), (10_000, 16)])
+def test_query5_against_plain(spark, monkeypatch, shard, block):
     monkeypatch.setattr(S, "SHARD", shard)
+    monkeypatch.setattr(S, "BLOCK", block)
     table = sorted(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
     prints = [plain_fingerprint(t, 3) for _, t in table]
     groups = plain_components(prints, lambda a, b: (a ^ b).bit_count() <= 2)
@@ -170,6 +171,26 @@ def test_query5_against_plain(spark, monkeypatch, shard):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == expected
 
 
+def test_blocks_of_a_crowded_shard_find_all_links(spark, monkeypatch):
+    """Close fingerprints share a shard; blocks that hold a few of them give the same components."""
+    monkeypatch.setattr(S, "SHARD", 50)
+    monkeypatch.setattr(S, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
+    flips = [b ^ (np.uint64(1) << np.uint64(i)) ^ (np.uint64(1) << np.uint64(j))
+             for b in base for i, j in rng.integers(0, 24, (60, 2)).tolist()]
+    points = np.unique(np.array(flips, np.uint64))
+    frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    links = S.fingerprint_links(frame, 1)
+    groups = plain_components([int(p) for p in points], lambda a, b: (a ^ b).bit_count() <= 1)
+    got = {r.node: r.component for r in connected_components(links).collect()}
+    signed = points.view(np.int64).tolist()
+    least = {}
+    for p, g in zip(signed, groups):
+        least[g] = min(least.get(g, p), p)
+    assert {p: got.get(p, p) for p in signed} == {p: least[g] for p, g in zip(signed, groups)}
+
+
 @pytest.mark.parametrize("radius", [0, 2, 12])
 def test_shards_lose_no_pair(spark, radius):
     rng = np.random.default_rng(radius)
@@ -205,6 +226,13 @@ def test_clashing_columns_and_repeats(docs):
     assert texts.count(TEXTS[5]) == 1 and "same id, other text" in texts
 
 
+def test_of_rows_with_one_id_and_text_the_same_one_stays(spark):
+    given = [(1, "a b c d e f", n) for n in range(40)]
+    kept = {S.dedup_near(spark.createDataFrame(given[::order], "doc_id long, text string, n long").repartition(
+        6)).first().n for order in (1, -1, 3, -3) if given[::order][0] and len(given[::order]) == 40}
+    assert len(kept) == 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 700)] + [(900, 900)]
     got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
@@ -227,6 +255,74 @@ def test_classifier_on_held_out(spark):
     assert (tails[:, 0] >= tails[:, 1]).all()
 
 
+def plain_loss(x, matrix, grades):
+    """Mean penalised loss of a cumulative-link model: weights, then ordered thresholds by their steps."""
+    weights, bounds = x[:matrix.shape[1]], x[matrix.shape[1]:]
+    thresholds = bounds[0] + np.append(0, np.cumsum(np.exp(bounds[1:])))
+    score = matrix @ weights
+    total = 0.0
+    for s, g in zip(score, grades):
+        upper = 1.0 if g == 0 else 1 / (1 + np.exp(thresholds[g - 1] - s))
+        lower = 0.0 if g == len(thresholds) else 1 / (1 + np.exp(thresholds[g] - s))
+        total -= np.log(max(upper - lower, 1e-12))
+    return total / len(grades) + G.RIDGE * (weights @ weights) / (2 * len(grades))
+
+
+def test_fit_reaches_the_optimum_of_the_plain_loss():
+    """The model has the least loss of a plain minimiser that only compares losses."""
+    rng = np.random.default_rng(6)
+    n = 240
+    grades = rng.integers(0, 3, n)
+    matrix = np.column_stack([
+        rng.random(n) < 0.15 + 0.3 * grades, rng.random(n) < 0.9 - 0.35 * grades, rng.random(n) < 0.5 + 0.2 * (grades > 1),
+    ]).astype(float) * np.array([1.0, 2.0, 0.5])
+    rows_ = [(np.flatnonzero(r).tolist(), r[r > 0].tolist()) for r in matrix]
+    model = G.fit(rows_, grades)
+    used = np.flatnonzero(model.weights[:3])
+    assert len(used) >= 2
+    scale = np.sqrt((matrix ** 2).sum(axis=0) / n)[used]
+    scaled = matrix[:, used] / scale
+    fitted = np.concatenate([model.weights[used] * scale, [model.thresholds[0]], np.log(np.diff(model.thresholds))])
+    loss = lambda x: plain_loss(x, scaled, grades)
+    best, step = np.zeros(len(fitted)), 1.0
+    while step > 1e-4:
+        trials = [best + step * e * sign for e in np.eye(len(best)) for sign in (1, -1)]
+        new = min(trials, key=loss)
+        if loss(new) < loss(best) - 1e-12:
+            best = new
+        else:
+            step /= 2
+    assert abs(loss(fitted) - loss(best)) < 1e-4
+    assert loss(fitted) <= loss(best) + 1e-4 and np.abs(fitted - best).max() < 0.1
+
+
+def test_only_useful_features_reach_the_driver(spark):
+    """The fit of the features chosen by Spark is that of all features."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    grades = G.graded(spark.read.parquet(f"{SF}/labels.parquet"))
+    rated = docs.join(grades, "doc_id").orderBy("doc_id").collect()
+    whole = G.fit([G.features((r.text or "").encode()) for r in rated], np.array([r.grade for r in rated]))
+    model = G.fit_documents(docs, grades)
+    assert (np.flatnonzero(model.weights) == np.flatnonzero(whole.weights)).all()
+    assert np.allclose(model.weights, whole.weights, atol=1e-3) and np.allclose(
+        model.thresholds, whole.thresholds, atol=1e-3)
+
+
+def test_query9_scores_equal_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = G.fit_documents(docs, G.graded(spark.read.parquet(f"{SF}/labels.parquet")))
+    got = {r.doc_id: r for r in G.op9_quality_classifier(spark, SF).collect()}
+    given = docs.select("doc_id", "text").collect()
+    assert len(got) == len(given)
+    for i, t in given:
+        score = sum(model.weights[p] * v for p, v in zip(*G.features((t or "").encode())))
+        tails = [1 / (1 + np.exp(b - score)) for b in model.thresholds]
+        r = got[i]
+        assert abs(r.p_at_least_1 - tails[0]) < 1e-6 and abs(r.p_top - tails[-1]) < 1e-6
+        assert abs(r.expected_grade - sum(tails)) < 1e-6
+        assert r.kept == (r.p_top >= G.KEEP_PROBABILITY)
+
+
 def test_scores_equal_features(docs):
     rng = np.random.default_rng(0)
     weights = rng.standard_normal(1 << G.HASH_BITS)
