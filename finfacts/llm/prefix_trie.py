@@ -115,8 +115,8 @@ def build_trie(numbered: DataFrame, members: DataFrame | None = None) -> Trie:
     tails = turns.join(last, ["conv_id", "depth"]).select(F.col("conv_id").alias("member"), "depth", "k1", "k2")
     at_nodes = tails.join(found.select("depth", "k1", "k2", "conv_id"), ["depth", "k1", "k2"]).select(
         "conv_id", "depth", "member")
-    turnless = members.join(last, "conv_id", "left_anti").select(F.col("conv_id").alias("member"))
-    at_root = turnless.crossJoin(F.broadcast(root.select("conv_id", "depth")))  # the root is one row
+    turnless = members.join(last, "conv_id", "left_anti").select(F.col("conv_id").alias("member"), zero.alias("depth"))
+    at_root = turnless.join(F.broadcast(root.select("conv_id", "depth")), "depth")  # the root is one row
     return Trie(nodes, at_nodes.union(at_root.select("conv_id", "depth", "member")))
 
 

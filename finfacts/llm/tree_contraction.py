@@ -75,11 +75,10 @@ def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
         live = stored(_with_sums(moved, _sums(chosen, "p", values), values))
     if not totals:
         return live.select("v", *values)
-    known = totals[0]
-    for more in totals[1:]:
-        known = known.union(more)
-    for links in reversed(passed):
+    # A child that a node was left with outlived its round: only later rounds know its total.
+    known = totals[-1]
+    for leaves, links in zip(totals[-2::-1], passed[-2::-1]):
         found = stored(links.join(known, "v").select(
             F.col("out").alias("v"), *[(F.col(c) + F.col(f"own_{c}")).alias(c) for c in values]))
-        known = known.union(found)
+        known = known.union(found).union(leaves)
     return known
