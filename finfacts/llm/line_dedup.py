@@ -10,7 +10,6 @@ have a fixed size, and a filter that is too full costs rows to count, never resu
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from hashlib import blake2b
 
@@ -103,25 +102,19 @@ def _merge(batches: Batches) -> Batches:
         yield result()
 
 
-_LOADED: dict[str, np.ndarray] = {}
-
-
-def _filter(shared, bits: int) -> np.ndarray:
-    """The merged filter, unpacked once per Python worker."""
-    if shared.value[0] not in _LOADED:
-        _LOADED.clear()
-        whole = np.zeros(bits // 8, np.uint8)
-        size = SEGMENT_BITS // 8
-        for s, packed in shared.value[1]:
-            whole[s * size:(s + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
-        _LOADED[shared.value[0]] = whole
-    return _LOADED[shared.value[0]]
+def _filter(segments: list, bits: int) -> np.ndarray:
+    """The merged filter, unpacked for one task: a worker keeps nothing of it."""
+    whole = np.zeros(bits // 8, np.uint8)
+    size = SEGMENT_BITS // 8
+    for s, packed in segments:
+        whole[s * size:(s + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return whole
 
 
 def _suspects(shared, min_chars: int, bits: int) -> Mapper:
     """Digests of the keys of a document that the second filter holds; other documents give no row."""
     def run(batches: Batches) -> Batches:
-        whole = _filter(shared, bits)
+        whole = _filter(shared.value, bits)
         for b in batches:
             keys = [_keys(t, min_chars) for t in texts(b.column("text"))]
             hashes = np.fromiter(
@@ -205,7 +198,7 @@ def dedup_lines(
     keyed = docs.select(F.col("`text`").cast("binary").alias("text"), k1, k2,
                         F.col(f"`{id_column}`").alias("id"))
     merged = repeated_line_filter(keyed, min_chars, bits)
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, merged))
+    shared = spark.sparkContext.broadcast(merged)
     suspects = stored(keyed.mapInArrow(
         _suspects(shared, min_chars, bits), shape(keyed, ["k1", "k2", "id"], "digests array<binary>")
     ))
