@@ -12,7 +12,7 @@ from finfacts.fixtures.tables import filing_tables, given_table
 from finfacts.operators import aggregates as D, joins as C, links, nested, quality as Q
 from finfacts.operators.variants import flatten_variants, variant_metadata
 from finfacts.plans import (
-    buckets, catalog as N, checks as K, filings as P, periods, rewrites, statements as S,
+    buckets, catalog as N, checks as K, distinct, filings as P, periods, rewrites, statements as S,
 )
 from finfacts.schema import (
     DOC_HEADER, DOC_SCHEMA, DOCUMENT_PARTS, FISCAL_PERIODS, RATIO_COLUMNS, RAW_COLUMNS,
@@ -25,6 +25,7 @@ from finfacts.sources.loads import (
 from finfacts.sources.manifest import missing_periods, staged_manifest
 from finfacts.sources.raw import read_raw, read_tickers, typed
 from finfacts.sources.sinks import replace_view, save_model, scratch_folder
+from finfacts.streaming.compaction import compact_landed, landed_table
 from finfacts.streaming.landing import ingest_documents
 from finfacts.streaming.statements import ingest_statements, ingested_statements
 
@@ -270,6 +271,17 @@ def _streamed_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 add_direct("i1_ingest_statements", _streamed_statements,
     """SELECT * FROM stg_balance_sheet UNION ALL SELECT * FROM stg_income_statement
     UNION ALL SELECT * FROM stg_cash_flow""")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that land a few files at a time, with their batches merged."""
+    landed = scratch_folder(spark)
+    ingest_documents(spark, _write_documents(spark, sf_dir), landed, f"{landed}/checkpoint", files_per_batch=6)
+    compact_landed(spark, landed, "financial_data")
+    return landed_table(spark, landed, "financial_data").drop("ingest_batch")
+
+
+add_direct("i1_compact_landed", _compacted, ORACLES["i1_ingest_documents"])
 add_direct("m11_raw_form",
     lambda spark, d: D.table_counts({
         k: v for k, v in load_form(spark, "RAW", _write_raw(spark, d)).items() if k in RAW_COLUMNS}),
@@ -467,6 +479,20 @@ add("d5_having",
 add("d6_load_counts", lambda t: D.load_counts(P.financial_metadata(t), P.financial_data(t)),
     """SELECT 'Metadata Count' check_type, count(*) record_count, count(DISTINCT symbol) unique_symbols FROM meta
     UNION ALL SELECT 'Financial Data Count', count(*), count(DISTINCT symbol) FROM fdata""")
+
+
+def _counts_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load counts after four loads that share companies; a filing comes with one of them."""
+    t, store = filing_tables(spark, sf_dir), scratch_folder(spark)
+    load = F.pmod(F.col("adsh").cast("bigint"), F.lit(4))
+    for i in range(4):
+        own = {**t, **{n: t[n].filter(load == i) for n in ("sub", "num", "pre")}}
+        distinct.add_counts({"Metadata Count": P.financial_metadata(own),
+                             "Financial Data Count": P.financial_data(own)}, store, f"2022q{i + 1}")
+    return distinct.load_counts_of_periods(spark, store)
+
+
+add_direct("d6_load_counts_of_periods", _counts_in_periods, ORACLES["d6_load_counts"])
 add("d7_distinct_rows", lambda t: t["num"].select("adsh", "tag", "uom", "value").distinct(),
     "SELECT DISTINCT adsh, tag, uom, value FROM num")
 add("d8_invalid_fiscal_periods", lambda t: D.invalid_fiscal_periods(t["sub"], "fp"),

@@ -66,14 +66,31 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Scratch folders of this process that remove_scratch has not removed yet.
+_SCRATCH: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders made so far; returns their number.
+
+    To be called when no DataFrame that may read them is needed any more.
+    """
+    gone = 0
+    while _SCRATCH:
+        gone += remove_folder(spark, _SCRATCH.pop())
+    return gone
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder in the shared place the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may do without that setting: its folder is then a temporary one.
+    It stays until ``remove_scratch``, as lazy results may read it at any time.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="finfacts-")
-    return f"{shared.rstrip('/')}/finfacts-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{shared.rstrip('/')}/finfacts-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]

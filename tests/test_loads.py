@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from conftest import frame, rows
 from finfacts.operators.nested import flatten_documents
 from finfacts.operators.variants import explode_path, flatten_variants, variant_metadata
-from finfacts.plans import buckets, filings as P, periods, rewrites, statements as S
+from finfacts.operators.aggregates import load_counts
+from finfacts.operators.numbering import consecutive
+from finfacts.plans import buckets, distinct, filings as P, periods, rewrites, statements as S
 from finfacts.schema import DOCUMENT_PARTS, NUM_COLUMNS
 from finfacts.sources import loads as L
 from finfacts.sources.documents import write_documents
 from finfacts.sources.raw import read_raw
+from finfacts.sources import sinks
 from finfacts.sources.sinks import remove_folder, replace_view
+from finfacts.streaming.compaction import compact_landed, landed_table
+from finfacts.streaming.landing import ingest_documents
 from finfacts.streaming.statements import ingest_statements, ingested_statements
 
 
@@ -257,3 +262,77 @@ def test_streamed_statements_are_distinct_over_batches(spark, tiny, tmp_path):
     assert whole == rows(S.staging(tables())) == rows(S.staging(tiny))
     ingest_statements(spark, str(src), static, dst, seen)
     assert rows(ingested_statements(spark, dst)) == whole
+
+
+def test_numbers_are_consecutive_over_parts(spark):
+    given = spark.range(0, 500, 1, 7).select(((F.col("id") * 37) % 250).cast("string").alias("s"), "id")
+    found = consecutive(given, ["s", "id"], "n", first=5).collect()
+    assert [(r.s, r.id) for r in sorted(found, key=lambda r: r.n)] == sorted((r.s, r.id) for r in found)
+    assert sorted(r.n for r in found) == list(range(5, 505))
+    assert consecutive(given.limit(0), ["s"], "n").isEmpty()
+
+
+def test_counts_of_periods_merge_exactly(spark, tiny, tmp_path):
+    symbols = spark.range(40_000).select(F.concat(F.lit("s"), F.col("id") % 36_000).alias("symbol"))
+    parts = [{"Metadata Count": symbols.limit(n), "Financial Data Count": data} for n, data in (
+        (36_000, P.financial_data(tiny)), (40_000, P.financial_data(tiny).limit(2)),
+        (0, frame(spark, "symbol", (None,), ("s1",), ("new",))))]
+    store = str(tmp_path / "store")
+    merged = lambda: rows(distinct.load_counts_of_periods(spark, store))
+    for i, part in enumerate(parts):
+        for title, df in part.items():
+            df.select("symbol").write.parquet(str(tmp_path / f"part{i}" / title.split()[0]))
+        own = {t: spark.read.parquet(str(tmp_path / f"part{i}" / t.split()[0])) for t in part}
+        distinct.add_counts(own, store, f"2020q{i + 1}")
+        whole = lambda t: spark.read.parquet(*[str(tmp_path / f"part{k}" / t) for k in range(i + 1)])
+        assert merged() == rows(load_counts(whole("Metadata"), whole("Financial")))
+    before = merged()
+    distinct.add_counts(own, store, "2020q3")
+    assert merged() == before
+    assert all(f"{store}/" in f for f in distinct.load_counts_of_periods(spark, store).inputFiles())
+
+
+def test_merged_batches_have_the_same_rows_in_fewer_files(spark, tiny, tmp_path):
+    src, dst, seen = (str(tmp_path / n) for n in ("src", "dst", "checkpoint"))
+    docs, name = P.filing_documents(tiny), "financial_data"
+    one = lambda n: docs.limit(1).drop("adsh").coalesce(1).write.mode("append").json(f"{src}/period_folder={n}")
+    read = lambda: rows(landed_table(spark, dst, name).select("period_folder", "ingest_batch", "concept", "value"))
+    for n in ("2020q1", "2020q1", "2020q2", "2020q1"):
+        one(n)
+        ingest_documents(spark, src, dst, seen)
+    before = read()
+    assert len({r[1] for r in before}) == 4
+    files = lambda: landed_table(spark, dst, name).filter("period_folder = '2020q1'").select(
+        F.input_file_name()).distinct().count()
+    many, reader = files(), landed_table(spark, dst, name)
+    assert compact_landed(spark, dst, name) == 2
+    assert read() == before == rows(reader.select("period_folder", "ingest_batch", "concept", "value")) and files() < many
+    assert compact_landed(spark, dst, name) is None
+    # The last batch may still be repeated: it replaces its own rows.
+    tail = spark.read.parquet(f"{dst}/{name}").filter("ingest_batch = 3").cache()
+    tail.count()
+    tail.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "period_folder", "ingest_batch").parquet(f"{dst}/{name}")
+    assert read() == before
+    # A merge that was cut short before its note shows nothing.
+    tail.write.parquet(f"{dst}/{name}_merged/99")
+    assert read() == before
+    one("2020q3")
+    ingest_documents(spark, src, dst, seen)
+    grown = read()
+    assert compact_landed(spark, dst, name) == 3 and read() == grown
+    # Batches that the note before covered are gone, those behind it are there.
+    assert {r[0] for r in spark.read.parquet(f"{dst}/{name}").select("ingest_batch").distinct().collect()} == {3, 4}
+    one("2020q1")
+    ingest_documents(spark, src, dst, seen)
+    assert len(read()) == len(grown) + len([r for r in before if r[1] == 0])
+
+
+def test_scratch_folders_go_when_told(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_SCRATCH", [])
+    path = sinks.scratch_folder(spark)
+    spark.range(3).write.parquet(path)
+    sinks.scratch_folder(spark)
+    assert sinks.remove_scratch(spark) == 1 and sinks.remove_scratch(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
