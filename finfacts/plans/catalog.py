@@ -31,9 +31,8 @@ def _desc(name: str):
 
 
 def _data(tables: Tables, concepts: Sequence[str] | None = None, **options) -> DataFrame:
-    """Document facts; the concept filter reaches the scans of ``num`` and ``pre``."""
-    data = filings.financial_data(tables, **options)
-    return data if concepts is None else data.filter(F.col("concept").isin(*concepts))
+    """Document facts; the concept filter reaches the scans of ``num``, ``pre`` and ``tag``."""
+    return filings.financial_data(tables, tags=concepts, **options)
 
 
 # ---- raw tables ----------------------------------------------------------

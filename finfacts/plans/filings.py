@@ -155,12 +155,15 @@ def data_table(
     return table.withColumn("id", F.xxhash64(*table.columns)) if ids else table
 
 
-def placed_tags(tables: Tables, parts: Sequence[str] = LOADED_PARTS) -> DataFrame:
-    """Tags shown by accepted filings: ``adsh, tag, symbol, data_type, info``, one row each."""
-    known = tables["tag"].select("tag").distinct()
+def placed_tags(
+    tables: Tables, parts: Sequence[str] = LOADED_PARTS, tags: Sequence[str] | None = None
+) -> DataFrame:
+    """Tags, or some of them, shown by accepted filings: ``adsh, tag, symbol, data_type, info``, one row each."""
+    listed = F.lit(True) if tags is None else F.col("tag").isin(*tags)
+    known = tables["tag"].filter(listed).select("tag").distinct()
     headers = filing_headers(tables["sub"], tables["sym"]).select("adsh", "symbol")
     return (
-        _placements(tables["pre"], parts).join(known, "tag", "left_semi").join(headers, "adsh")
+        _placements(tables["pre"].filter(listed), parts).join(known, "tag", "left_semi").join(headers, "adsh")
         .withColumnRenamed("stmt", "data_type")
     )
 
@@ -175,22 +178,23 @@ def fact_groups(
     """
     num = tables["num"] if tags is None else tables["num"].filter(F.col("tag").isin(*tags))
     reduced = _numeric(num, exact=False).groupBy("adsh", "tag").agg(*aggregates)
-    return reduced.join(placed_tags(tables, parts), ["adsh", "tag"]).withColumnRenamed(
+    return reduced.join(placed_tags(tables, parts, tags), ["adsh", "tag"]).withColumnRenamed(
         "tag", "concept"
     )
 
 
 def financial_data(
     tables: Tables, parts: Sequence[str] = LOADED_PARTS, exact: bool = False,
-    ids: bool = False,
+    ids: bool = False, tags: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per loaded fact, without building documents.
+    """One row per loaded fact, or per fact of some tags, without building documents.
 
     Everything but the value comes from the presentation rows, so ``num`` is
-    shuffled once, by filing and tag.
+    shuffled once, by filing and tag. A list of tags reaches all scans.
     """
-    placed = placed_tags(tables, parts)
-    facts = _numeric(tables["num"], exact).join(placed, ["adsh", "tag"]).withColumnRenamed(
+    placed = placed_tags(tables, parts, tags)
+    num = tables["num"] if tags is None else tables["num"].filter(F.col("tag").isin(*tags))
+    facts = _numeric(num, exact).join(placed, ["adsh", "tag"]).withColumnRenamed(
         "tag", "concept"
     )
     return data_table(facts, ids)
