@@ -278,10 +278,16 @@ def test_embeddings(spark):
     assert E.link_embeddings(frame.limit(0)).count() == 0
 
 
-def test_query8_on_the_given_table_equals_all_pairs(spark):
-    folder = "/root/testdata/sf0.1"
-    given = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select(
+def test_query8_on_the_given_table_equals_all_pairs(spark, tmp_path):
+    """The given vectors, of which none are close, and noisy copies on both sides of the limit."""
+    rng = np.random.default_rng(12)
+    given = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select(
         "vec_id", "embedding", "label").collect()]
+    for n, (i, v, label) in enumerate(given[:400]):
+        noise = rng.standard_normal(len(v)) * np.linalg.norm(v) / np.sqrt(len(v)) * rng.uniform(0.05, 0.35)
+        given.append((10_000 + n, (np.array(v) + noise).astype(np.float32).tolist(), label if n % 9 else (label + 1) % 10))
+    spark.createDataFrame(given, "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
     good = {}
     for i, v, label in given:
         own = None if v is None or None in v else np.array(v, float)
@@ -305,8 +311,8 @@ def test_query8_on_the_given_table_equals_all_pairs(spark):
         links[b] += 1
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
-    got = E.op8_embedding_dedup(spark, folder).collect()
-    assert len(edges) > 10
+    got = E.op8_embedding_dedup(spark, str(tmp_path)).collect()
+    assert 100 < len(edges) < 390
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted(
         (i, links[i], find(i), find(i) == i) for i, _, _ in given)
 
