@@ -63,6 +63,7 @@ class WordEncoder:
     # Ids at the start of every text that its cut has added.
     lead = 0
     known = KNOWN
+    chunk = CHUNK
 
     def __init__(self) -> None:
         self.new: dict[bytes, bytes | None] = {}
@@ -109,7 +110,7 @@ class WordEncoder:
         at = 0
         while at < len(column):
             before = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, before + CHUNK, "right")))
+            to = max(at + 1, int(np.searchsorted(sizes, before + self.chunk, "right")))
             yield self._slice(column.slice(at, to - at))
             at = to
 
@@ -160,9 +161,11 @@ class Encoder(WordEncoder):
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.words, self.lead = words, 0 if words else 1
-        # Lower-cased words have fewer parts, and their workers serve further stages.
+        # Lower-cased words have fewer parts, and their workers serve further stages; the units of
+        # a chunk are remembered at once, so a smaller one bounds that better.
         self.most = PIECES // 4 if words else PIECES
         self.known = 200_000 if words else KNOWN
+        self.chunk = CHUNK // 2 if words else CHUNK
         self.pieces: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {b"": b""}
 
