@@ -281,7 +281,8 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_table(spark, landed, "financial_data").drop("ingest_batch")
 
 
-add_direct("i1_compact_landed", _compacted, ORACLES["i1_ingest_documents"])
+add_direct("i1_compact_landed", _compacted)
+ORACLES["i1_compact_landed"] = ORACLES["i1_ingest_documents"]
 add_direct("m11_raw_form",
     lambda spark, d: D.table_counts({
         k: v for k, v in load_form(spark, "RAW", _write_raw(spark, d)).items() if k in RAW_COLUMNS}),
@@ -492,7 +493,8 @@ def _counts_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.load_counts_of_periods(spark, store)
 
 
-add_direct("d6_load_counts_of_periods", _counts_in_periods, ORACLES["d6_load_counts"])
+add_direct("d6_load_counts_of_periods", _counts_in_periods)
+ORACLES["d6_load_counts_of_periods"] = ORACLES["d6_load_counts"]
 add("d7_distinct_rows", lambda t: t["num"].select("adsh", "tag", "uom", "value").distinct(),
     "SELECT DISTINCT adsh, tag, uom, value FROM num")
 add("d8_invalid_fiscal_periods", lambda t: D.invalid_fiscal_periods(t["sub"], "fp"),
