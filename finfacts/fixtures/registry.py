@@ -19,6 +19,7 @@ from finfacts.schema import (
 )
 from finfacts.plans.forms import load_form
 from finfacts.sources.documents import read_documents, write_documents
+from finfacts.sources.layout import store_by_keys
 from finfacts.sources.loads import (
     landed_documents, load_documents, load_raw, load_report, loaded_rows, refused_rows,
 )
@@ -759,6 +760,21 @@ add("n3_values_by_tag", N.values_by_tag,
     """SELECT tag, value, name, ddate FROM num n JOIN sub s ON n.adsh = s.adsh
     WHERE tag IN ('Assets', 'Liabilities', 'StockholdersEquity')
     ORDER BY ddate DESC, tag, value NULLS FIRST, name LIMIT 10""")
+
+
+def _by_two_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    t, root = filing_tables(spark, sf_dir), scratch_folder(spark)
+    store_by_keys(t["num"], root)
+    return {**t, "num": spark.read.parquet(root)}
+
+
+add_direct("a10_two_key_store", lambda spark, d: _by_two_keys(spark, d)["num"].select(
+    "adsh", "tag", "version", "ddate", "qtrs", "uom", "value"),
+    "SELECT adsh, tag, version, ddate, qtrs, uom, value FROM num")
+add_direct("n3_values_by_tag_two_keys", lambda spark, d: N.values_by_tag(_by_two_keys(spark, d)),
+    """SELECT tag, value, name, ddate FROM num n JOIN sub s ON n.adsh = s.adsh
+    WHERE tag IN ('Assets', 'Liabilities', 'StockholdersEquity')
+    ORDER BY ddate DESC, tag, value NULLS FIRST, name LIMIT 10""")
 add("n4_tag_usage", N.tag_usage,
     """SELECT t.tag, t.tlabel, count(*) usage_count FROM tag t JOIN num n ON t.tag = n.tag
     GROUP BY t.tag, t.tlabel ORDER BY usage_count DESC, t.tag, t.tlabel LIMIT 10""")
