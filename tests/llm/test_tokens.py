@@ -20,7 +20,7 @@ from finfacts.llm import (
     chat_format as C, embedding_dedup as E, packing as P, sentence_pieces as SP, token_store as T,
     tokens as K, url_filter as U,
 )
-from finfacts.llm.wavelet import read_file, write_file
+from finfacts.llm.wavelet import CHUNK, ShardFile, read_file, write_file
 from tests.llm.conftest import TEXTS, rows
 
 SF = "/root/testdata/sf0.001"
@@ -210,6 +210,23 @@ def test_wavelet():
         read_file(write_file(np.array([1, 2]), [1], [2], 2) + b"x")
 
 
+def test_questions_unpack_a_part_of_the_shard():
+    ids = np.random.default_rng(1).integers(0, 50_000, 3 * CHUNK + 700).astype(np.uint32)
+    data = write_file(ids, [1], [len(ids)], 16)
+    for i in (0, CHUNK - 1, CHUNK, len(ids) - 1):
+        shard = ShardFile(data)
+        assert shard.matrix.access(i) == ids[i] and shard.unpacked < len(data) * 0.4
+    shard, token = ShardFile(data), int(ids[CHUNK])
+    assert shard.matrix.count(token, 5, CHUNK + 9) == (ids[5:CHUNK + 9] == token).sum()
+    assert shard.unpacked < len(data) * 0.7
+    hot = np.where(np.arange(len(ids)) % 3 == 0, 7, ids).astype(np.uint32)
+    matrix = ShardFile(write_file(hot, [1], [len(ids)], 16)).matrix
+    assert matrix.occurrences(7) == np.flatnonzero(hot == 7).tolist()
+    assert matrix.select(7, CHUNK) == np.flatnonzero(hot == 7)[CHUNK]
+    with pytest.raises(IndexError):
+        matrix.select(7, int((hot == 7).sum()))
+
+
 def test_store(spark, docs, empty, monkeypatch):
     ids = library_ids(BYTES, 2)
     shards = T.write_shards(docs, BYTES)
