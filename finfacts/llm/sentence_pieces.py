@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from finfacts.llm.common import Batches, Mapper, nested, shape, table, unnested
-from finfacts.llm.tokens import WordEncoder, packed
+from finfacts.llm.tokens import WordEncoder, packed, spaced
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -242,8 +242,8 @@ class PieceEncoder(WordEncoder):
         marked = text.replace(MARKER.encode(), b" ")
         return b"".join(self._lookup(_UNITS.findall(b" " + marked))[0]) if text else b""
 
-    def unit(self, item: bytes) -> bytes:
-        return b" " + item if item else item
+    def units(self, items: pa.Array) -> list[bytes]:
+        return spaced(items, pc.equal(items, ""))
 
     def cut(self, column: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
         marked = pc.binary_join_element_wise(pa.scalar(" "), column, pa.scalar(""))

@@ -47,11 +47,19 @@ def _byte_letters() -> dict[int, str]:
 
 
 _TABLE = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+_SPACE = _byte_letters()[ord(" ")]
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 def packed(ids) -> bytes:
     """Little-endian unsigned 32-bit ids."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACKERS[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def spaced(items: pa.Array, bare: pa.Array) -> list[bytes]:
+    """The items with a space before each, but for ``bare`` ones."""
+    lead = pc.if_else(bare, "", " ")
+    return pc.binary_join_element_wise(lead, items, "").cast(pa.binary()).to_pylist()
 
 
 class WordEncoder:
@@ -76,9 +84,9 @@ class WordEncoder:
         """The units of every text, and which texts must not be cut."""
         raise NotImplementedError
 
-    def unit(self, item: bytes) -> bytes:
-        """The unit behind an item of the cut."""
-        return item
+    def units(self, items: pa.Array) -> list[bytes]:
+        """The units behind items of the cut."""
+        return items.cast(pa.binary()).to_pylist()
 
     def compute(self, units: list[bytes]) -> list[bytes | None]:
         """Ids of units; None where only the whole text decides."""
@@ -86,7 +94,7 @@ class WordEncoder:
 
     def _lookup(self, units: list[bytes]) -> tuple[list[bytes], list[int]]:
         parts = list(map(self.new.get, units, repeat(b"")))
-        missing = [i for i, part in enumerate(parts) if part == b"" and units[i]]
+        missing = [i for i, part in enumerate(parts) if not part and part is not None and units[i]]
         unknown = []
         for i in missing:
             parts[i] = self.old.get(units[i], b"")
@@ -118,7 +126,7 @@ class WordEncoder:
         ends = lists.offsets.to_numpy()
         ends = ends - ends[0]
         encoded = lists.flatten().dictionary_encode()
-        units = list(map(self.unit, encoded.dictionary.cast(pa.binary()).to_pylist()))
+        units = self.units(encoded.dictionary)
         index = encoded.indices.to_numpy(zero_copy_only=False)
         parts, open_ = self._lookup(units)
         if open_:
@@ -129,8 +137,12 @@ class WordEncoder:
         starts = np.cumsum(lengths) - lengths
         counts = lengths[index]
         upto = np.cumsum(counts)
-        place = np.repeat(starts[index] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)
-        out = ids[place]
+        total = int(upto[-1]) if len(upto) else 0
+        # A place beyond 32 bits takes a single text of gigabytes.
+        kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+        place = np.repeat((starts[index] - upto + counts).astype(kind), counts)
+        place += np.arange(total, dtype=kind)
+        out = ids.take(place)
         bounds = np.append(0, upto)[ends[1:]]
         if not self.lead and not whole.any():
             return out, bounds
@@ -171,7 +183,13 @@ class Encoder(WordEncoder):
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _model(self, piece: bytes) -> bytes:
-        mapped = piece.decode("latin-1").translate(_TABLE)
+        # ASCII letters stand for themselves.
+        if piece.isalpha():
+            mapped = piece.decode()
+        elif piece[:1] == b" " and piece[1:].isalpha():
+            mapped = _SPACE + piece[1:].decode()
+        else:
+            mapped = piece.decode("latin-1").translate(_TABLE)
         return packed([t.id for t in self.model.tokenize(mapped)])
 
     def _piece(self, piece: bytes) -> bytes:
@@ -200,6 +218,9 @@ class Encoder(WordEncoder):
             if _PLAIN.fullmatch(unit):
                 return b"".join(map(self._piece, _RUNS.findall(unit.lower())))
             return self.whole(unit.decode("utf-8", "replace"))
+        if core[:1] == b" " and core[1:].isalpha():
+            first = self._piece(core)
+            return first + self._mark(unit[len(core):]) if len(core) < len(unit) else first
         body = core.lstrip(SPACES)
         space = core[:len(core) - len(body)]
         if space in (b" ", b"", b"\n") and (
@@ -224,8 +245,10 @@ class Encoder(WordEncoder):
         parts, open_ = self._lookup(text.split() if self.words else _UNITS.findall(text))
         return self.whole(text.decode("utf-8", "replace")) if open_ else b"".join(parts)
 
-    def unit(self, item: bytes) -> bytes:
-        return item if self.words or item[:1] in (b"\n", b"") else b" " + item
+    def units(self, items: pa.Array) -> list[bytes]:
+        if self.words:
+            return super().units(items)
+        return spaced(items, pc.or_(pc.starts_with(items, "\n"), pc.equal(items, "")))
 
     def cut(self, column: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
         if self.words:
