@@ -232,19 +232,24 @@ def health_indicators(
 def statement_totals(
     tables: Tables, wanted: Mapping[str, Mapping[str, str]]
 ) -> DataFrame:
-    """Rows per statement and sums of chosen tags per company, from one pass over the staging rows."""
-    staged = statements.staging(tables, *wanted)
+    """Staging rows per statement and sums of chosen tags per company, from one pass over ``num``."""
+    # A row counts once for every label of its tag: sums per tag first, then at most one row per listed tag.
+    labels = F.broadcast(statements.label_counts(tables, *wanted))
+    per_tag = statements.unlabelled(tables, *wanted).groupBy("company_symbol", "metric_code").agg(
+        F.count("*").alias("n"), F.sum("metric_value").alias("value"))
+    counted = per_tag.join(labels, "metric_code").select(
+        "company_symbol", "metric_code", (F.col("n") * F.col("labels")).alias("n"),
+        (F.col("value") * F.col("labels").cast("decimal(10,0)")).alias("value"))
     aggregates = []
     for statement, sums in wanted.items():
         tags = statements.statement_tags([statement])
-        aggregates.append(
-            F.count_if(F.col("metric_code").isin(*tags)).alias(f"n_{statement}")
-        )
+        aggregates.append(F.coalesce(
+            F.sum(F.when(F.col("metric_code").isin(*tags), F.col("n"))), F.lit(0)).alias(f"n_{statement}"))
         aggregates.extend(
-            sum_where(F.col("metric_code") == tag, "metric_value").alias(name)
+            sum_where(F.col("metric_code") == tag, "value").alias(name)
             for name, tag in sums.items()
         )
-    return staged.groupBy(F.col("company_symbol").alias("symbol")).agg(*aggregates)
+    return counted.groupBy(F.col("company_symbol").alias("symbol")).agg(*aggregates)
 
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {

@@ -77,18 +77,33 @@ def _staged(tables: Tables, statements: Sequence[str], complete_only: bool) -> D
     joined. Every dropped column is kept on one of the two distinct inputs, so
     the result is distinct again and the label fan-out is never shuffled.
     """
-    tags = statement_tags(statements)
+    rows = _unlabelled(tables, statements, complete_only).join(_labels(tables, statements), "metric_code")
+    return rows.withColumn("source_file", statement_source(F.col("metric_code"))).select(
+        *STAGING_COLUMNS
+    )
+
+
+def _unlabelled(tables: Tables, statements: Sequence[str], complete_only: bool) -> DataFrame:
     filings = _filings(tables["sub"], complete_only)
-    values = _numbers(tables["num"], tags).filter(F.col("metric_value").isNotNull())
-    base = join_filing(values, filings).drop("adsh").distinct()
-    labels = tables["tag"].filter(F.col("tag").isin(*tags)).select(
+    values = _numbers(tables["num"], statement_tags(statements)).filter(F.col("metric_value").isNotNull())
+    return join_filing(values, filings).drop("adsh").distinct()
+
+
+def _labels(tables: Tables, statements: Sequence[str]) -> DataFrame:
+    return tables["tag"].filter(F.col("tag").isin(*statement_tags(statements))).select(
         F.col("tag").alias("metric_code"), F.col("tlabel").alias("metric_name"),
         F.col("datatype").alias("metric_info"),
     ).distinct()
-    rows = base.join(labels, "metric_code")
-    return rows.withColumn("source_file", statement_source(F.col("metric_code"))).select(
-        *STAGING_COLUMNS
-    )
+
+
+def unlabelled(tables: Tables, *statements: str) -> DataFrame:
+    """Staging rows of the named statements before the labels of their tags are joined."""
+    return _unlabelled(tables, statements, complete_only=False)
+
+
+def label_counts(tables: Tables, *statements: str) -> DataFrame:
+    """``labels``, how often the tag dictionary repeats a staging row of a tag; one row per listed tag at most."""
+    return _labels(tables, statements).groupBy("metric_code").agg(F.count("*").alias("labels"))
 
 
 def staging(tables: Tables, *statements: str) -> DataFrame:

@@ -42,6 +42,20 @@ def test_health_fan_out_equals_the_joined_sums(tables):
     assert rows(got) == rows(expected)
 
 
+def test_totals_count_a_row_once_for_every_label(tables):
+    again = tables["tag"].filter("tag = 'Assets'").withColumn("tlabel", F.lit("another label"))
+    unnamed = tables["tag"].filter("tag = 'Liabilities'").withColumn("tlabel", F.lit(None).cast("string"))
+    labelled = {**tables, "tag": tables["tag"].union(again).union(unnamed).union(unnamed)}
+    wanted = {"balance_sheet": {"assets": "Assets", "liabilities": "Liabilities"}}
+    value = lambda tag: F.sum(F.when(F.col("metric_code") == tag, F.col("metric_value")).otherwise(0))
+    staged = S.staging(labelled, "balance_sheet").groupBy(F.col("company_symbol").alias("symbol")).agg(
+        F.count("*").alias("n"), value("Assets").alias("assets"), value("Liabilities").alias("liabilities"))
+    text = lambda df, *n: rows(df.select("symbol", *[F.col(c).cast("double") for c in (*n, "assets", "liabilities")]))
+    assert text(N.statement_totals(labelled, wanted), "n_balance_sheet") == text(staged, "n")
+    assert text(N.statement_totals(labelled, wanted), "n_balance_sheet") != text(
+        N.statement_totals(tables, wanted), "n_balance_sheet")
+
+
 def test_named_queries(tables):
     assert set(N.QUERIES) and N.named_query("top_companies")(tables, k=3).count() == 3
     with pytest.raises(KeyError):
