@@ -13,38 +13,19 @@ contraction.
 from __future__ import annotations
 
 import math
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from xxhash import xxh64_intdigest
 
 from finfacts.llm.common import Batches, Mapper, content_key, nested, stored, table, texts, unnested
 from finfacts.llm.components import connected_components
-from finfacts.llm.shingle_sets import similar_components
+from finfacts.llm.shingle_sets import shingle_hashes, similar_components
+from finfacts.llm.vantage_tree import SAMPLE, SAMPLED, Tree, meetings, search
 
-SEED = 42
-# Fingerprints at home in a shard, points of a block, and points that are searched without further splits.
+# Fingerprints at home in a shard, and points of a block.
 SHARD = 20_000
 BLOCK = 4_096
-LEAF = 128
-# Bound of the driver's sample, of which each shard of the tree it gives needs some.
-SAMPLE = 1 << 20
-SAMPLED = 64
-HASHES_AT_ONCE = 1 << 18
-
-
-def shingle_hashes(text: bytes, size: int):
-    """64-bit hashes of the word shingles, in arrays of bounded length; short texts are one shingle."""
-    words = text.lower().split()
-    n = max(1, len(words) - size + 1) if words else 0
-    for at in range(0, n, HASHES_AT_ONCE):
-        part = words[at:at + HASHES_AT_ONCE + size - 1]
-        count = min(HASHES_AT_ONCE, n - at)
-        joined = map(b" ".join, zip(*(part[i:] for i in range(size)))) if len(part) >= size \
-            else iter([b" ".join(part)])
-        yield np.fromiter(map(xxh64_intdigest, joined, repeat(SEED)), np.uint64, count)
 
 
 def fingerprint(text: bytes, size: int) -> int:
@@ -69,48 +50,6 @@ def _fingerprints(size: int) -> Mapper:
     return run
 
 
-def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Differing bits."""
-    return np.bitwise_count(a ^ b)
-
-
-class Tree:
-    """The upper levels of a vantage-point tree over a sample; a shard is a node at some depth."""
-
-    def __init__(self, sample: np.ndarray, depth: int) -> None:
-        self.points = np.zeros(1 << (depth + 1), np.uint64)
-        self.median = np.full(1 << (depth + 1), 64, np.int16)
-        self._grow(1, sample, depth)
-
-    def _grow(self, node: int, points: np.ndarray, depth: int) -> None:
-        if depth == 0 or not len(points):
-            return
-        # Of a few candidates, the one whose distances spread most.
-        spread = [distance(points, p).astype(float).var() for p in points[:8]]
-        vantage = points[int(np.argmax(spread))]
-        d = distance(points, vantage)
-        self.points[node], self.median[node] = vantage, int(np.median(d))
-        near = d <= self.median[node]
-        self._grow(2 * node, points[near], depth - 1)
-        self._grow(2 * node + 1, points[~near], depth - 1)
-
-    def home(self, fps: np.ndarray, depth: int) -> np.ndarray:
-        node = np.ones(len(fps), np.int64)
-        for _ in range(depth):
-            node = 2 * node + (distance(fps, self.points[node]) > self.median[node])
-        return node
-
-    def visits(self, fps: np.ndarray, depth: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``fps`` and the shards that may hold something within the radius."""
-        at, node = np.arange(len(fps)), np.ones(len(fps), np.int64)
-        for _ in range(depth):
-            d = distance(fps[at], self.points[node]).astype(np.int16)
-            near, far = d - radius <= self.median[node], d + radius > self.median[node]
-            at = np.concatenate([at[near], at[far]])
-            node = np.concatenate([2 * node[near], 2 * node[far] + 1])
-        return at, node
-
-
 def _route(tree: Tree, depth: int, radius: int) -> Mapper:
     """A row at home, and one for every earlier shard visited."""
     def run(batches: Batches) -> Batches:
@@ -155,38 +94,6 @@ class _Forest:
                 self.parent[max(a, b)] = min(a, b)
 
 
-def search(fps: np.ndarray, home: np.ndarray, radius: int, found) -> None:
-    """Call ``found(i, j)`` with all places of pairs within the radius, one of them at home."""
-    def split(points: np.ndarray, queries: np.ndarray) -> None:
-        if not len(points) or not len(queries):
-            return
-        if len(points) > LEAF:
-            vantage = fps[points[len(points) // 2]]
-            d = distance(fps[points], vantage).astype(np.int16)
-            median = int(np.median(d))
-            near = d <= median
-            if near.all():
-                near = d < median
-                median -= 1
-            if near.any() and not near.all():
-                q = distance(fps[queries], vantage).astype(np.int16)
-                split(points[near], queries[q - radius <= median])
-                split(points[~near], queries[q + radius > median])
-                return
-        for a in range(0, len(queries), 1024):
-            some = queries[a:a + 1024]
-            for c in range(0, len(points), 4 * LEAF):
-                block = points[c:c + 4 * LEAF]
-                i, j = np.nonzero(distance(fps[some][:, None], fps[block][None, :]) <= radius)
-                i, j = some[i], block[j]
-                # Two points at home meet twice; one meeting counts.
-                once = (i < j) | ~home[i]
-                if once.any():
-                    found(i[once], j[once])
-
-    split(np.flatnonzero(home), np.arange(len(fps)))
-
-
 def _block_links(radius: int):
     """Links of a block at home with itself, or with the other block that it meets."""
     def run(key: tuple, met: pa.Table) -> pa.Table:
@@ -214,22 +121,7 @@ def fingerprint_links(points: DataFrame, radius: int) -> DataFrame:
     tree = Tree(sample.to_numpy(dtype=np.int64).view(np.uint64), depth)
     routed = stored(points.select("fp").mapInArrow(
         _route(tree, depth, radius), "shard int, fp long, home boolean"))
-    # Two numbers a shard, of which there are few; a block holds a hashed share of them.
-    sizes = routed.groupBy("shard").agg(*[
-        F.greatest(F.ceil(F.count_if(c) / BLOCK).cast("int"), F.lit(1)).alias(name)
-        for name, c in (("homes", F.col("home")), ("guests", ~F.col("home")))])
-    own = routed.join(F.broadcast(sizes), "shard").withColumn("block", F.pmod(
-        F.xxhash64("fp"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
-    # A block at home meets itself, the later blocks at home and all blocks of visitors.
-    as_first = F.transform(F.sequence(F.lit(0), F.col("homes") - 1 + F.col("guests")), lambda i: F.struct(
-        F.col("block").alias("left"), i.alias("right"), F.lit(True).alias("first")))
-    as_second = F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda i: F.struct(
-        i.alias("left"), (F.col("block") + F.when(F.col("home"), 0).otherwise(F.col("homes"))).alias("right"),
-        F.lit(False).alias("first")))
-    meets = F.when(F.col("home"), F.concat(
-        F.filter(as_first, lambda m: m["right"] >= F.col("block")),
-        F.filter(as_second, lambda m: m["left"] < F.col("block")))).otherwise(as_second)
-    met = own.select("shard", "fp", F.inline(meets))
+    met = meetings(routed, ["shard"], BLOCK)
     return met.groupBy("shard", "left", "right").applyInArrow(_block_links(radius), "a long, b long")
 
 

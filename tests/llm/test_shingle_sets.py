@@ -115,3 +115,48 @@ def test_a_hub_is_carried_once_per_block(spark, monkeypatch):
     hubs = placed.groupBy("hub").count().agg({"count": "max"}).first()[0]
     assert pairs < 2 * len(texts) and hubs > 200
     assert blocks <= pairs / X.PARTNERS * 2 + placed.select("hub").distinct().count()
+
+
+def test_fingerprint_is_the_majority_among_distinct_shingles():
+    """Every bit as a plain count gives it, ties zero; repeats of a passage change nothing."""
+    words = [f"w{i}" for i in range(700)]
+    for text in ("one", " ".join(words[:9]), " ".join(words), " ".join(words + words[:300])):
+        hashes = X.shingle_set(text.encode(), 5)
+        got = X.wide_fingerprint(hashes).view(np.uint64)
+        each = [X.wide_fingerprint(hashes[k:k + 1]).view(np.uint64) for k in range(len(hashes))]
+        want = [sum(int(x[w] >> np.uint64(b)) & 1 for x in each) * 2 > len(hashes)
+                for w in range(X.WORDS) for b in range(64)]
+        assert [bool(int(got[w] >> np.uint64(b)) & 1) for w in range(X.WORDS) for b in range(64)] == want
+    assert len({x.tobytes() for x in each}) == len(each)
+
+
+def test_radius_holds_pairs_at_the_limit():
+    """Sets at 0.8, small ones too, lie within the radius, unrelated ones outside of it."""
+    rng = np.random.default_rng(7)
+    radius = X.radius_of(0.8)
+    differ = lambda a, b: int(np.bitwise_count((X.wide_fingerprint(a) ^ X.wide_fingerprint(b)).view(np.uint64)).sum())
+    for both, one, other in ((4, 0, 1), (8, 1, 1), (12, 0, 3), (80, 10, 10), (800, 0, 200), (8000, 1000, 1000)):
+        for _ in range(200 if both < 1000 else 20):
+            own = rng.integers(0, 1 << 63, both + one + other, np.uint64)
+            assert differ(own[:both + one], np.append(own[:both], own[both + one:])) <= radius
+            apart = rng.integers(0, 1 << 63, (2, both), np.uint64)
+            assert differ(*apart) > radius or both < 80
+
+
+def test_near_copies_come_from_shards_of_a_tree(spark, monkeypatch):
+    """Bands cut into shards by vantage points, and shards into blocks, give the links of all pairs."""
+    monkeypatch.setattr(X, "SHARD", 12)
+    monkeypatch.setattr(X, "BLOCK", 9)
+    met = []
+    monkeypatch.setattr(X, "stored", lambda df, keep=X.stored: met.append(keep(df)) or met[-1])
+    rng = np.random.default_rng(12)
+    texts = []
+    for k in range(30):
+        base = [f"d{k}w{i}" for i in range(int(rng.integers(100, 180)))]
+        texts += [" ".join(edited(rng, base, int(rng.integers(0, 5)))) for _ in range(4)]
+        texts.append(" ".join(base + [f"more{k}x{i}" for i in range(int(rng.integers(5, 40)))]))
+    want = expected(texts)
+    assert members(spark, texts) == want and len(set(want)) > 30
+    searched = next(df for df in met if "left" in df.columns)
+    assert "print" in searched.columns and searched.select("band").distinct().count() > 1
+    assert searched.groupBy("band").agg({"key": "max"}).agg({"max(key)": "max"}).first()[0] > 3
