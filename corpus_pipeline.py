@@ -13,6 +13,10 @@ from finfacts.llm.quality_rules import rule_quality
 from finfacts.llm.simhash_dedup import dedup_near
 
 
+# Bytes of text that a task looks up at once; its worker still holds memory of earlier stages.
+LOOKED_UP = 2 << 20
+
+
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to the ratings of these documents, selects."""
     return select_documents(docs, fit_documents(docs, graded(table(spark, sf_dir, "labels"))))
@@ -38,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents and their places in sequences."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False, chunk=LOOKED_UP)
 
 
 STAGES = [

@@ -94,12 +94,14 @@ class Places:
         return self.sequence[first] + use, self.offset[first] + slot * length
 
 
-def _pieces(path: str, words: bool, end_id: int, capacity: int, with_ids: bool) -> Mapper:
+def _pieces(
+    path: str, words: bool, end_id: int, capacity: int, with_ids: bool, chunk: int | None,
+) -> Mapper:
     def run(batches: Batches) -> Batches:
         own = encoder(path, words)
         for b in batches:
             names, at = b.column("doc_id").to_pylist(), 0
-            for tokens, ends in own.encode_many(b.column("text")):
+            for tokens, ends in own.encode_many(b.column("text"), chunk):
                 rows, begin = [], 0
                 for to in ends.tolist():
                     ids = np.append(tokens[begin:to], np.uint32(end_id)).astype("<u4", copy=False)
@@ -119,11 +121,14 @@ _PIECE = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
 
 def token_pieces(
     docs: DataFrame, path: str, words: bool = True, end_id: int = END_ID,
-    capacity: int = CAPACITY, with_ids: bool = True,
+    capacity: int = CAPACITY, with_ids: bool = True, chunk: int | None = None,
 ) -> DataFrame:
-    """The pieces of every text (doc_id, text) with its end id; only longer ones are cut."""
+    """The pieces of every text (doc_id, text) with its end id; only longer ones are cut.
+
+    A task looks up ``chunk`` bytes of text at once; the result does not depend on it.
+    """
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _pieces(path, words, end_id, capacity, with_ids),
+        _pieces(path, words, end_id, capacity, with_ids, chunk),
         "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary",
     )
     return pieces if with_ids else pieces.drop("ids")

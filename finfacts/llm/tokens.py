@@ -110,14 +110,18 @@ class WordEncoder:
             parts[i] = b""
         return parts, open_
 
-    def encode_many(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For slices of a text column: all ids in a row, and where each text's ids end."""
+    def encode_many(self, column: pa.Array, chunk: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For slices of a text column: all ids in a row, and where each text's ids end.
+
+        A slice has at most ``chunk`` bytes (``CHUNK``) or is one text; less takes less memory, more is faster.
+        """
+        chunk = chunk or CHUNK
         column = pc.fill_null(column, "")
         sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < len(column):
             before = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, before + CHUNK, "right")))
+            to = max(at + 1, int(np.searchsorted(sizes, before + chunk, "right")))
             yield self._slice(column.slice(at, to - at))
             at = to
 

@@ -434,3 +434,20 @@ def test_native_plans(spark):
     for query in (U.op2_url_filter, C.op10_chat_format):
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(n in plan for n in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_little_text_is_looked_up_at_once(monkeypatch):
+    """Slices of a given size give the same ids; the pipeline's last stage asks for small ones."""
+    import corpus_pipeline
+
+    given = ["A few words, 12 of them.", None, "", "x " * 500, *[f"text {i} of many" for i in range(200)]]
+    column = pa.array(given, pa.string())
+    encoder = K.Encoder(public_tokenizers.path("word_bpe_49k.json"), True)
+    whole, parts = list(encoder.encode_many(column)), list(encoder.encode_many(column, 600))
+    assert len(whole) == 1 and len(parts) > 5 and max(len(ends) for _, ends in parts) < 60
+    assert np.array_equal(np.concatenate([ids for ids, _ in parts]), whole[0][0])
+    assert sum(len(ends) for _, ends in parts) == len(given)
+    asked = {}
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, path, **options: asked.update(options))
+    corpus_pipeline.pack(None, None, "")
+    assert asked["chunk"] <= K.CHUNK // 4
