@@ -3,7 +3,7 @@
 Texts with equal sets of shingles are one point. Its fingerprint has 256 bits, each the
 majority among the distinct shingles, so that sets at the limit differ in more bits than
 the radius with a chance of about 1e-9 only. Sets of such similarity differ by a bounded
-ratio in size, so a point meets its own band of sizes and the next one. Every band is cut
+ratio in size, so a point meets its own band of sizes and the next few. Every band is cut
 into shards by a vantage-point tree, every shard into blocks, and every pair of blocks is
 searched on its own, so that no task holds more than two blocks. Fingerprints only propose
 pairs, which their sets decide: the first round compares every point with the smallest one
@@ -30,6 +30,8 @@ SEED = 42
 HASHES_AT_ONCE = 1 << 18
 # 64-bit words of a fingerprint.
 WORDS = 4
+# Bands of sizes that the ratio at the limit spans.
+BANDS = 4
 # Points of a band's shard, of a block that is searched, and of one whose pairs are listed.
 SHARD = 20_000
 BLOCK = 8_192
@@ -176,7 +178,7 @@ def _words(column: pa.Array, n: int) -> np.ndarray:
 
 
 def _route(tree: Tree, depths: dict[int, int], radius: int) -> Mapper:
-    """A row at home, one for every earlier shard of its band visited, and for those of the next band."""
+    """A row at home, one for every earlier shard of its band visited, and for those of the next bands."""
     def run(batches: Batches) -> Batches:
         for b in batches:
             fps, bands = _words(b.column("print"), WORDS), b.column("band").to_numpy()
@@ -186,9 +188,10 @@ def _route(tree: Tree, depths: dict[int, int], radius: int) -> Mapper:
                 at, node = tree.visits(fps[:, own], depths[band], radius)
                 earlier = node < home[at]
                 dealt = [(band, own, home, True), (band, own[at[earlier]], node[earlier], False)]
-                if band + 1 in depths:
-                    at, node = tree.visits(fps[:, own], depths[band + 1], radius)
-                    dealt.append((band + 1, own[at], node, False))
+                for above in range(band + 1, band + BANDS + 1):
+                    if above in depths:
+                        at, node = tree.visits(fps[:, own], depths[above], radius)
+                        dealt.append((above, own[at], node, False))
                 for to, rows, key, is_home in dealt:
                     for k in range(0, len(rows), 10_000):
                         some = b.take(pa.array(rows[k:k + 10_000]))
@@ -204,9 +207,9 @@ def _met(points: DataFrame, min_similarity: float, block: int) -> DataFrame:
 
     Pairs within the radius and the ratio of sizes share a pair of blocks (band, key, left, right).
     """
-    width = math.log(1.01 / max(min_similarity, 0.01))
+    width = math.log(1.01 / max(min_similarity, 0.01)) / BANDS
     banded = points.select(F.floor(F.log("size") / width).cast("int").alias("band"), *points.columns)
-    # Some tens of bands, as a text's size has few magnitudes.
+    # A hundred or two bands, as a text's size has few magnitudes.
     depths = {r["band"]: max(0, math.ceil(math.log2(r["n"] / SHARD)))
               for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
     depth = min(max(depths.values(), default=0), int(math.log2(SAMPLE // SAMPLED // WORDS)))

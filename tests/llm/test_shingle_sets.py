@@ -145,7 +145,7 @@ def test_radius_holds_pairs_at_the_limit():
 
 def test_near_copies_come_from_shards_of_a_tree(spark, monkeypatch):
     """Bands cut into shards by vantage points, and shards into blocks, give the links of all pairs."""
-    monkeypatch.setattr(X, "SHARD", 12)
+    monkeypatch.setattr(X, "SHARD", 3)
     monkeypatch.setattr(X, "BLOCK", 9)
     met = []
     monkeypatch.setattr(X, "stored", lambda df, keep=X.stored: met.append(keep(df)) or met[-1])
