@@ -56,10 +56,14 @@ def packed(ids) -> bytes:
     return _PACKERS[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
 
 
+def listed(items: pa.Array) -> list[bytes]:
+    """The bytes of every item; by way of numpy, as ``to_pylist`` makes a scalar of each first."""
+    return items.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 def spaced(items: pa.Array, bare: pa.Array) -> list[bytes]:
     """The items with a space before each, but for ``bare`` ones."""
-    lead = pc.if_else(bare, "", " ")
-    return pc.binary_join_element_wise(lead, items, "").cast(pa.binary()).to_pylist()
+    return listed(pc.binary_join_element_wise(pc.if_else(bare, "", " "), items, ""))
 
 
 class WordEncoder:
@@ -86,7 +90,7 @@ class WordEncoder:
 
     def units(self, items: pa.Array) -> list[bytes]:
         """The units behind items of the cut."""
-        return items.cast(pa.binary()).to_pylist()
+        return listed(items)
 
     def compute(self, units: list[bytes]) -> list[bytes | None]:
         """Ids of units; None where only the whole text decides."""
@@ -95,16 +99,16 @@ class WordEncoder:
     def _lookup(self, units: list[bytes]) -> tuple[list[bytes], list[int]]:
         parts = list(map(self.new.get, units, repeat(b"")))
         missing = [i for i, part in enumerate(parts) if not part and part is not None and units[i]]
-        unknown = []
-        for i in missing:
-            parts[i] = self.old.get(units[i], b"")
-            if parts[i] == b"":
-                unknown.append(i)
-        for i, part in zip(unknown, self.compute([units[i] for i in unknown])):
-            parts[i] = part
+        asked = [units[i] for i in missing]
+        found = list(map(self.old.get, asked, repeat(b"")))
+        unknown = [i for i, part in enumerate(found) if part == b""]
+        for i, part in zip(unknown, self.compute([asked[i] for i in unknown])):
+            found[i] = part
         if len(self.new) >= self.known // 2:
             self.old, self.new = self.new, {}
-        self.new.update((units[i], parts[i]) for i in missing)
+        self.new.update(zip(asked, found))
+        for i, part in zip(missing, found):
+            parts[i] = part
         open_ = [i for i, part in enumerate(parts) if part is None]
         for i in open_:
             parts[i] = b""
@@ -131,23 +135,17 @@ class WordEncoder:
         ends = ends - ends[0]
         encoded = lists.flatten().dictionary_encode()
         units = self.units(encoded.dictionary)
-        index = encoded.indices.to_numpy(zero_copy_only=False)
         parts, open_ = self._lookup(units)
         if open_:
-            bad = np.append(0, np.cumsum(np.isin(index, open_)))
+            bad = np.append(0, np.cumsum(np.isin(encoded.indices.to_numpy(zero_copy_only=False), open_)))
             whole |= np.diff(bad[ends]) > 0
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        starts = np.cumsum(lengths) - lengths
-        counts = lengths[index]
-        upto = np.cumsum(counts)
-        total = int(upto[-1]) if len(upto) else 0
-        # A place beyond 32 bits takes a single text of gigabytes.
-        kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
-        place = np.repeat((starts[index] - upto + counts).astype(kind), counts)
-        place += np.arange(total, dtype=kind)
-        out = ids.take(place)
-        bounds = np.append(0, upto)[ends[1:]]
+        # 64-bit offsets: a single text may have gigabytes of ids.
+        found = pa.array(parts, pa.large_binary()).take(encoded.indices)
+        upto = np.zeros(1, np.int64)
+        if len(found):
+            upto = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1) // 4
+        out = np.frombuffer(found.buffers()[2], "<u4", upto[-1]) if upto[-1] else np.zeros(0, "<u4")
+        bounds = upto[ends[1:]]
         if not self.lead and not whole.any():
             return out, bounds
         texts, begin, split = [], 0, []

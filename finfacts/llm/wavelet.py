@@ -95,6 +95,11 @@ class Plane:
         return out
 
 
+def sides(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the zeros and where the ones stand; moving ids by places is several times faster than by a mask."""
+    return np.flatnonzero(~bits), np.flatnonzero(bits)
+
+
 def chunks(n: int) -> int:
     """Chunks of a plane of ``n`` bits."""
     return -(-n // CHUNK)
@@ -113,16 +118,16 @@ class WaveletMatrix:
         for level in range(levels - 1, -1, -1):
             bits = (ids & ids.dtype.type(1 << level)) != 0
             planes.append(Plane.of(bits))
-            ids = np.concatenate([ids[~bits], ids[bits]])
+            ids = np.concatenate([ids.take(own) for own in sides(bits)])
         return cls(planes, len(ids))
 
     def all(self) -> np.ndarray:
         """All ids in order."""
         ids = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
         for level, plane in enumerate(reversed(self.planes)):
-            bits, above = plane.bits(), np.empty_like(ids)
-            above[~bits] = ids[:plane.zeros]
-            above[bits] = ids[plane.zeros:] | ids.dtype.type(1 << level)
+            (zeros, ones), above = sides(plane.bits()), np.empty_like(ids)
+            above[zeros] = ids[:len(zeros)]
+            above[ones] = ids[len(zeros):] | ids.dtype.type(1 << level)
             ids = above
         return ids
 

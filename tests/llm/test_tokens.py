@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -20,7 +21,7 @@ from finfacts.llm import (
     chat_format as C, embedding_dedup as E, packing as P, sentence_pieces as SP, token_store as T,
     tokens as K, url_filter as U,
 )
-from finfacts.llm.wavelet import CHUNK, ShardFile, read_file, write_file
+from finfacts.llm.wavelet import CHUNK, ShardFile, WaveletMatrix, read_file, write_file
 from tests.llm.conftest import TEXTS, rows
 
 SF = "/root/testdata/sf0.001"
@@ -451,3 +452,48 @@ def test_little_text_is_looked_up_at_once(monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, path, **options: asked.update(options))
     corpus_pipeline.pack(None, None, "")
     assert asked["chunk"] <= K.CHUNK // 4
+
+
+def least_seconds(*jobs):
+    """The least CPU seconds of each job, the jobs taking turns."""
+    seen = [[] for _ in jobs]
+    for _ in range(4):
+        for own, job in zip(seen, jobs):
+            begin = time.process_time()
+            job()
+            own.append(time.process_time() - begin)
+    return list(map(min, seen))
+
+
+def test_a_shard_moves_its_ids_by_places():
+    """Building and reading a shard takes less time than moving its ids by a mask on every level."""
+    ids = np.random.default_rng(2).integers(0, 1 << 16, 1 << 20).astype(np.uint16)
+
+    def by_mask():
+        own = ids
+        for level in range(15, -1, -1):
+            bits = (own & np.uint16(1 << level)) != 0
+            own = np.concatenate([own[~bits], own[bits]])
+
+    matrix = WaveletMatrix.build(ids, 16)
+    assert (matrix.all() == ids).all()
+    mask, build, read = least_seconds(by_mask, lambda: WaveletMatrix.build(ids, 16), matrix.all)
+    assert max(build, read) < 0.6 * mask
+
+
+@pytest.mark.parametrize("path, words", [(WORDS, True), (BYTES, False)])
+def test_units_come_without_a_scalar_each(path, words):
+    """Listing the distinct words of a column takes less time than pyarrow's own list of them."""
+    items = pa.array(["", "\nx", "é日", *map("word{}".format, range(200_000))])
+    own = K.Encoder(path, words)
+    lead = [b"" if words or t.startswith("\n") or not t else b" " for t in items.to_pylist()]
+    assert own.units(items) == [a + t.encode() for a, t in zip(lead, items.to_pylist())]
+    plain, listed = least_seconds(items.cast(pa.binary()).to_pylist, lambda: own.units(items))
+    assert listed < 0.6 * plain
+
+
+@pytest.mark.parametrize("path, words", [(WORDS, True), (BYTES, False)])
+def test_columns_without_ids(path, words):
+    own = K.Encoder(path, words)
+    assert many(own, []) == [] and many(own, ["", None, ""]) == [[], [], []]
+    assert many(own, ["", "a"])[0] == [] and len(many(own, ["", "a"])[1]) == 1
