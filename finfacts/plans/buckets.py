@@ -26,11 +26,24 @@ def store_by_filing(tables: Tables, prefix: str, root: str, buckets: int) -> Non
                 f"{prefix}{name}")
 
 
+def _session_without_all_keys(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose joins may be dealt out by some of their keys."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return own
+
+
 def tables_by_filing(spark: SparkSession, prefix: str, names: Tables | tuple[str, ...]) -> dict[str, DataFrame]:
     """The stored tables. Joins on filing and tag then keep the buckets of the filing.
 
-    For that the session no longer asks for all keys of a join to be dealt out by; a filing
-    that outgrows a task should then stay in the plain store, where a join can split it.
+    For that they come from a session of their own, which does not ask for all keys of a join to be
+    dealt out by; joins of other tables in ``spark`` still do, so that a hot filing is split there.
+    Temporary views of their results belong to that session too. A filing that outgrows a task
+    should stay in the plain store.
     """
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return {name: spark.table(f"{prefix}{name}") for name in names}
+    own = _session_without_all_keys(spark)
+    return {name: own.table(f"{prefix}{name}") for name in names}

@@ -284,6 +284,6 @@ def register_views(tables: Tables, prefix: str = "") -> None:
 
 
 def run_sql(spark: SparkSession, tables: Tables, text: str) -> DataFrame:
-    """Ad-hoc SQL over the tables; the result is as wide and long as the text says."""
+    """Ad-hoc SQL over the tables, in their session; the result is as wide and long as the text says."""
     register_views(tables)
-    return spark.sql(text)
+    return next((df.sparkSession for df in tables.values()), spark).sql(text)

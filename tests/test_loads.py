@@ -12,6 +12,7 @@ from finfacts.operators.variants import explode_path, flatten_variants, variant_
 from finfacts.operators.aggregates import load_counts
 from finfacts.operators.numbering import consecutive
 from finfacts.plans import buckets, distinct, filings as P, periods, rewrites, statements as S
+from finfacts.plans.catalog import run_sql
 from finfacts.schema import DOCUMENT_PARTS, NUM_COLUMNS
 from finfacts.sources import loads as L
 from finfacts.sources.documents import write_documents
@@ -222,6 +223,27 @@ def test_values_bucketed_by_filing_are_not_shuffled(spark, tiny, tmp_path):
             spark.sql(f"DROP TABLE tiny_{name}")
 
 
+def test_reading_by_filing_leaves_the_session_as_it_is(spark, tiny, tmp_path):
+    """Later joins of plain tables are still dealt out by all keys; settings of the session reach the stored tables."""
+    key, given = "spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.autoBroadcastJoinThreshold"
+    buckets.store_by_filing(tiny, "kept_", str(tmp_path / "kept"), 2)
+    spark.conf.set(given, "-1")
+    try:
+        before = spark.conf.get(key)
+        stored = buckets.tables_by_filing(spark, "kept_", tuple(tiny))
+        assert spark.conf.get(key) == before == "true"
+        own = stored["num"].sparkSession.conf
+        assert own.get(key) == "false" and own.get(given) == "-1"
+        assert own.get("spark.checkpoint.dir") == spark.conf.get("spark.checkpoint.dir")
+        assert rows(P.financial_data(stored)) == rows(P.financial_data(tiny))
+        assert run_sql(spark, stored, "SELECT count(*) AS n FROM num").first().n == tiny["num"].count()
+    finally:
+        spark.conf.unset(given)
+        spark.conf.unset(key)
+        for name in tiny:
+            spark.sql(f"DROP TABLE kept_{name}")
+
+
 def test_only_changed_documents_are_written_again(spark, tiny, tmp_path):
     store = str(tmp_path / "store")
     read = lambda: rows(flatten_documents(rewrites.current_documents(spark, store), DOCUMENT_PARTS))
