@@ -52,10 +52,15 @@ def join_dimension(
     left: DataFrame, right: DataFrame, key: str,
     max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner join to a dictionary on a skewed key: broadcast if its checked size allows, else salted."""
-    if fits_broadcast(right, max_rows, max_bytes):
-        return left.join(F.broadcast(right), key)
-    return salted_join(left, right, key)
+    """Inner join to a dictionary on a skewed key: broadcast if its checked size allows, else salted.
+
+    Rows whose key ``left`` lacks go first, so neither the size of a broadcast nor the
+    copies of the salted side grow with the part of the dictionary that is not used.
+    """
+    used = right.join(left.select(key).distinct(), key, "left_semi")
+    if fits_broadcast(used, max_rows, max_bytes):
+        return left.join(F.broadcast(used), key)
+    return salted_join(left, used, key)
 
 
 def join_filing(num: DataFrame, sub: DataFrame) -> DataFrame:

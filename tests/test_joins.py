@@ -39,6 +39,17 @@ def test_broadcast_check_measures_rows_and_bytes(spark):
     assert C.fits_broadcast(small.filter("false"), max_rows=0)
 
 
+def test_unused_rows_of_a_dictionary_do_not_count(spark):
+    unused = spark.range(5_000).select(F.concat(F.lit("own"), "id").alias("tag"), F.lit("x").alias("label"))
+    right = unused.union(frame(spark, "tag label", ("hot", "a"), ("hot", "b"), ("k1", "c"), (None, "d")))
+    joined = C.join_dimension(hot(spark), right, "tag", max_rows=10)
+    assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == rows(hot(spark).join(right, "tag"))
+    salted = C.join_dimension(hot(spark), right, "tag", max_rows=2)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(salted) == rows(hot(spark).join(right, "tag"))
+
+
 def test_join_tag_ignores_the_version(tiny):
     joined = C.join_tag(tiny["num"].select("adsh", "tag", "value"), tiny["tag"])
     assert joined.filter("adsh = 'f3'").count() == 3
