@@ -25,7 +25,7 @@ from finfacts.sources.loads import (
 )
 from finfacts.sources.manifest import missing_periods, staged_manifest
 from finfacts.sources.raw import read_raw, read_tickers, typed
-from finfacts.sources.sinks import replace_view, save_model, scratch_folder
+from finfacts.sources.sinks import replace_view, save_model, scratch_folder, shuffles_freed
 from finfacts.streaming.compaction import compact_landed, landed_table
 from finfacts.streaming.landing import ingest_documents
 from finfacts.streaming.statements import ingest_statements, ingested_statements
@@ -115,11 +115,12 @@ def _write_raw(spark: SparkSession, sf_dir: str, names=("sub", "num", "tag", "pr
     root = scratch_folder(spark)
     tables = filing_tables(spark, sf_dir)
     for name in names:
-        (
-            tables[name].write.option("sep", "\t").option("header", True).option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(f"{root}/2022q4/{name}.txt")
-        )
+        with shuffles_freed(spark):
+            (
+                tables[name].write.option("sep", "\t").option("header", True).option("escape", '"')
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                .option("compression", "gzip").csv(f"{root}/2022q4/{name}.txt")
+            )
     return root
 
 

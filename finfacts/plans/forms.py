@@ -61,12 +61,15 @@ def store_normalized(tables: statements.Tables, store: str) -> dict[str, DataFra
     """The normalized form in the order of its dependencies: one pass over the reported values.
 
     Staging is stored under ``store``; the statement tables are its partitions, the facts
-    derive from it and are stored too, and the metrics derive from the facts.
+    derive from it and are stored too, and the metrics derive from the facts. Every task
+    that makes staging rows distinct has some of all three statements and writes them itself.
     """
     spark = tables["sub"].sparkSession
-    save_model(statements.staging(tables), f"{store}/staging", partition_by=["source_file"], mode="replace")
+    save_model(statements.staging(tables), f"{store}/staging", partition_by=["source_file"], mode="replace",
+               rebalance=False, compression="zstd")
     staged = spark.read.parquet(f"{store}/staging").select(*statements.STAGING_COLUMNS)
-    save_model(statements.facts_from_staging(staged, tables["sub"]), f"{store}/facts", mode="replace")
+    save_model(statements.facts_from_staging(staged, tables["sub"]), f"{store}/facts", mode="replace",
+               compression="zstd")
     facts = spark.read.parquet(f"{store}/facts")
     parts = {s: staged.filter(F.col("source_file") == label) for s, label in SOURCE_LABELS.items()}
     return {

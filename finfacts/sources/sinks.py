@@ -4,20 +4,45 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside gives its shuffle files back as it ends.
+
+    Else they stay until the driver happens to collect its garbage, and those of
+    all steps of a job lie on the disks together.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def save_model(
     df: DataFrame, target: str, materialized: str = "table",
-    partition_by: Sequence[str] = (), mode: str = "period",
+    partition_by: Sequence[str] = (), mode: str = "period", rebalance: bool = True,
+    compression: str | None = None,
 ) -> None:
     """Materialize a model: a temporary view named ``target``, or Parquet under that path.
 
     A partitioned table replaces the partitions it writes; ``mode='replace'``
     replaces the whole table. Rows are rebalanced by partition before they are
-    written: small partitions share a task, a large one is split.
+    written: small partitions share a task, a large one is split. A few partitions
+    that all tasks share evenly can do without, and without another shuffle.
+    ``compression`` names a codec other than the session's.
     """
     if materialized == "view":
         df.createOrReplaceTempView(target)
@@ -25,12 +50,15 @@ def save_model(
     if materialized != "table" or mode not in ("period", "replace"):
         raise ValueError("materialized is 'table' or 'view', mode is 'period' or 'replace'")
     overwrite = "dynamic" if partition_by and mode == "period" else "static"
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    if compression is not None:
+        writer = writer.option("compression", compression)
+    with shuffles_freed(df.sparkSession):
+        writer.parquet(target)
 
 
 def save_bucketed(
