@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from finfacts.operators.joins import lookup_tag_doc
+from finfacts.operators.joins import fits_broadcast, lookup_tag_doc
 from finfacts.plans.filings import filing_documents, filing_headers
 from finfacts.plans.statements import Tables
 from finfacts.schema import DOC_HEADER, DOCUMENT_PARTS
+from finfacts.sources.sinks import shuffles_freed
 
 _HALF = 0xFFFFFFFF
 SUMS = ("n", "low", "high")
@@ -60,6 +61,18 @@ def document_index(spark: SparkSession, store: str) -> DataFrame | None:
     return rows.groupBy("adsh").agg(last).select("adsh", "last.digest", "last.load")
 
 
+def _some_filings(tables: Tables, wanted: DataFrame) -> Tables:
+    """The tables cut down to the filings in ``wanted``.
+
+    A document takes only rows of filings in ``sub``, so values and presentation rows are
+    cut down only where that needs no shuffle of theirs: if few filings are wanted.
+    """
+    few = fits_broadcast(wanted)
+    cut = ("sub", "num", "pre") if few else ("sub",)
+    wanted = F.broadcast(wanted) if few else wanted
+    return {**tables, **{n: tables[n].join(wanted, "adsh", "left_semi") for n in cut}}
+
+
 def update_documents(
     tables: Tables, store: str, parts: Sequence[str] = DOCUMENT_PARTS, exact: bool = False
 ) -> int:
@@ -68,6 +81,11 @@ def update_documents(
     The documents are written before the index that names them, so an update that fails
     midway shows nothing, and is made good by the next.
     """
+    with shuffles_freed(tables["sub"].sparkSession):
+        return _update(tables, store, parts, exact)
+
+
+def _update(tables: Tables, store: str, parts: Sequence[str], exact: bool) -> int:
     spark = tables["sub"].sparkSession
     known, now = document_index(spark, store), filing_digests(tables)
     load = 0 if known is None else (known.agg(F.max("load")).first()[0] or 0) + 1
@@ -75,10 +93,8 @@ def update_documents(
     pending = f"{store}/pending/load={load}"
     changed.write.mode("overwrite").parquet(pending)
     changed = spark.read.parquet(pending)
-    wanted = changed.select("adsh")
-    some = {n: tables[n].join(wanted, "adsh", "left_semi") for n in ("sub", "num", "pre")}
-    docs = filing_documents({**tables, **some}, parts, exact)
-    docs.write.mode("overwrite").parquet(f"{store}/documents/load={load}")
+    docs = filing_documents(_some_filings(tables, changed.select("adsh")), parts, exact)
+    docs.write.mode("overwrite").option("compression", "zstd").parquet(f"{store}/documents/load={load}")
     marks = changed.select("adsh", "digest")
     if known is not None:
         gone = known.filter("digest IS NOT NULL").join(now, "adsh", "left_anti")

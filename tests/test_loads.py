@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from finfacts.operators.nested import flatten_documents
 from finfacts.operators.variants import explode_path, flatten_variants, variant_metadata
 from finfacts.operators.aggregates import load_counts
 from finfacts.operators.numbering import consecutive
-from finfacts.plans import buckets, distinct, filings as P, periods, rewrites, statements as S
+from finfacts.plans import buckets, distinct, filings as P, forms, periods, rewrites, statements as S
 from finfacts.plans.catalog import run_sql
 from finfacts.schema import DOCUMENT_PARTS, NUM_COLUMNS
 from finfacts.sources import loads as L
@@ -267,6 +268,26 @@ def test_only_changed_documents_are_written_again(spark, tiny, tmp_path):
     assert read() == want(texts)
 
 
+def test_an_update_leaves_no_shuffle_files(spark, tiny, tmp_path):
+    before, store = shuffle_files(spark), str(tmp_path / "store")
+    assert rewrites.update_documents(tiny, store) == 3
+    assert not left_behind(spark, before)
+    want = rows(flatten_documents(P.filing_documents(tiny), DOCUMENT_PARTS))
+    assert rows(flatten_documents(rewrites.current_documents(spark, store), DOCUMENT_PARTS)) == want
+
+
+def test_tables_of_some_filings_give_the_same_documents(spark, tiny, monkeypatch):
+    wanted = frame(spark, "adsh", ("f1",), ("gone",))
+    want = rows(flatten_documents(P.filing_documents(tiny).filter("adsh = 'f1'"), DOCUMENT_PARTS))
+    few = rewrites._some_filings(tiny, wanted)
+    assert few["num"].select("adsh").distinct().count() == 2 and rows(
+        flatten_documents(P.filing_documents(few), DOCUMENT_PARTS)) == want
+    monkeypatch.setattr(rewrites, "fits_broadcast", lambda df: False)
+    many = rewrites._some_filings(tiny, wanted)
+    assert many["num"] is tiny["num"] and many["sub"].count() == 1
+    assert rows(flatten_documents(P.filing_documents(many), DOCUMENT_PARTS)) == want
+
+
 def test_streamed_statements_are_distinct_over_batches(spark, tiny, tmp_path):
     src, dst, seen = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "checkpoint")
     given = [[x or "" for x in r] for r in tiny["num"].collect()]
@@ -350,6 +371,33 @@ def test_merged_batches_have_the_same_rows_in_fewer_files(spark, tiny, tmp_path)
     assert len(read()) == len(grown) + len([r for r in before if r[1] == 0])
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are there since ``before`` and do not go within some seconds."""
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_a_stored_model_leaves_no_shuffle_files(spark, tiny, tmp_path):
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffle_files(spark)
+    given = spark.conf.get(key, None)
+    stored = forms.store_normalized(tiny, str(tmp_path))
+    assert not left_behind(spark, before)
+    assert spark.conf.get(key, None) == given
+    assert rows(stored["stg_balance_sheet"]) == rows(S.stg_balance_sheet(tiny))
+    with pytest.raises(ZeroDivisionError), sinks.shuffles_freed(spark):
+        1 / 0
+    assert spark.conf.get(key, None) == given
+
+
 def test_scratch_folders_go_when_told(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "_SCRATCH", [])
     path = sinks.scratch_folder(spark)
