@@ -160,11 +160,13 @@ def _write_values(spark: SparkSession, sf_dir: str, member: Column | None = None
     root = scratch_folder(spark)
     num = filing_tables(spark, sf_dir)["num"].select(
         "*", _ddate_quarter().alias("period_folder"), (F.lit("num.txt") if member is None else member).alias("member"))
-    (
-        num.repartition("period_folder", "member").write.partitionBy("period_folder", "member")
-        .option("sep", "\t").option("header", True).option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
-    )
+    with shuffles_freed(spark):
+        (
+            num.repartition("period_folder", "member").write.partitionBy("period_folder", "member")
+            .option("sep", "\t").option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("compression", "gzip").csv(root)
+        )
     return root
 
 

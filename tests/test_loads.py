@@ -371,6 +371,32 @@ def test_merged_batches_have_the_same_rows_in_fewer_files(spark, tiny, tmp_path)
     assert len(read()) == len(grown) + len([r for r in before if r[1] == 0])
 
 
+def test_state_of_streamed_statements_lies_on_disk(spark, tiny, tmp_path):
+    """Older checkpoints go on with the state they were begun with; the session stays as it is."""
+    key, heap = "spark.sql.streaming.stateStore.providerClass", "HDFSBackedStateStoreProvider"
+    package = "org.apache.spark.sql.execution.streaming.state."
+    given = [[x or "" for x in r] for r in tiny["num"].collect()]
+    static, src = {k: tiny[k] for k in ("sub", "tag")}, tmp_path / "src"
+    provider = lambda name, batch: json.loads(
+        (tmp_path / name / "offsets" / str(batch)).read_text().splitlines()[1])["conf"][key]
+    run = lambda name: ingest_statements(spark, str(src), static, f"{tmp_path}/{name}_rows", f"{tmp_path}/{name}")
+    before = spark.conf.get(key, None)
+    tsv(src / "2020q1" / "num.txt", *[(*r[:6], "", "", r[6], "") for r in given[:7]])
+    run("new")
+    assert provider("new", 0).endswith("RocksDBStateStoreProvider") and spark.conf.get(key, None) == before
+    spark.conf.set(key, package + heap)
+    try:
+        run("old")
+        assert spark.conf.get(key) == package + heap
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    tsv(src / "2020q2" / "num.txt", *[(*r[:6], "", "", r[6], "") for r in given[2:]])
+    run("new"), run("old")
+    assert provider("old", 0).endswith(heap) and provider("old", 1).endswith(heap)
+    for name in ("new", "old"):
+        assert rows(ingested_statements(spark, f"{tmp_path}/{name}_rows")) == rows(S.staging(tiny))
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     names = (files.apply(i).getName() for i in range(files.size()))
